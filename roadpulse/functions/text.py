@@ -22,9 +22,20 @@ def title_case(col: Column) -> Column:
 
 
 def normalize_city(col: Column) -> Column:
-    """`peñaflor, malloco` -> `Peñaflor;Malloco`. Null and empty text stay as they are."""
+    """`peñaflor, malloco` -> `Peñaflor;Malloco`. Null and empty text stay as they are.
+
+    Nearly all names are letters and digits with single spaces and separators; those need no
+    regular expression beyond the test, and `initcap` is right for them. The rest (other
+    signs, a letter right after a digit, runs of spaces) goes part by part.
+    """
+    plain = F.translate(col, ",", ";")
+    for gap in (" ;", "; "):
+        plain = F.replace(plain, F.lit(gap), F.lit(";"))
+    words = F.initcap(F.replace(F.trim(plain), F.lit(";"), F.lit("; ")))
     parts = F.split(F.translate(col, ",", ";"), ";")
-    return F.array_join(F.transform(parts, lambda part: title_case(strip(part))), ";")
+    by_part = F.array_join(F.transform(parts, lambda part: title_case(strip(part))), ";")
+    unusual = col.rlike(r"[^\p{L}\p{N} ,;]|\p{N}\p{L}|  ")
+    return F.when(unusual, by_part).otherwise(F.replace(words, F.lit("; "), F.lit(";")))
 
 
 def filled(col: Column) -> Column:

@@ -40,8 +40,9 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str | Column]) ->
 def clean_alerts(staged: DataFrame, tie_break: tuple[str, ...] = ()) -> DataFrame:
     """Header rows out, complete rows only, earliest report per uuid.
 
-    Ties in `fecha` go to the lowest `tie_break` (an ingest sequence, say) and then to the
-    lowest remaining columns, so the result does not depend on partitioning.
+    Ties in `fecha` go to the lowest `tie_break` (an ingest sequence, say). Without one they
+    go to the lowest remaining columns, so the result never depends on partitioning; but then
+    all columns are sorted and shuffled even if few are used afterwards.
     """
     return _clean(staged, ALERT_COLUMNS, tie_break)
 
@@ -53,7 +54,7 @@ def clean_jams(staged: DataFrame, tie_break: tuple[str, ...] = ()) -> DataFrame:
 def _clean(staged: DataFrame, columns: list[str], tie_break: tuple[str, ...]) -> DataFrame:
     kept = complete(drop_header_rows(staged), columns)
     rest = [c for c in columns if c not in ("uuid", "fecha")]
-    return first_per_key(kept, ["uuid"], ["fecha", *tie_break, *rest]).select(*columns)
+    return first_per_key(kept, ["uuid"], ["fecha", *(tie_break or rest)]).select(*columns)
 
 
 def of_kind(alerts: DataFrame, kind: str) -> DataFrame:

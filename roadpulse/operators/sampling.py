@@ -8,6 +8,7 @@ from roadpulse.functions import draws as D
 from roadpulse.functions.values import nearest_index
 from roadpulse.operators.numbering import number_rows, running_total
 from roadpulse.operators.skew import join_unique
+from roadpulse.session import materialise
 
 _INDEX = "indice"
 
@@ -43,7 +44,8 @@ def sample_zipf(
 
 
 def _pick(listed: DataFrame, placed: DataFrame, draw: str) -> DataFrame:
-    return join_unique(placed, listed, [_INDEX], "inner", spread=[draw])
+    # The join reads the positions twice and drawing is dear, so they are written first.
+    return join_unique(materialise(placed), listed, [_INDEX], "inner", spread=[draw])
 
 
 def arrival_times(

@@ -16,13 +16,10 @@ def hot_keys(rows: DataFrame, keys: list[str], share: float) -> DataFrame:
     size of `rows`: that bound is what makes broadcasting the result safe. The counts are
     combined map-side, so a hot key costs one row per task.
     """
-    total = rows.agg(F.count("*").alias(_ROWS)).scalar()
-    limit = F.lit(share) * total
-    return (
-        rows.groupBy(*keys).agg(F.count("*").alias(_ROWS))
-        .filter(F.col(_ROWS) > limit)
-        .select(*keys, F.ceil(F.col(_ROWS) / limit).cast("int").alias(_SALTS))
-    )
+    counts = rows.groupBy(*keys).agg(F.count("*").alias(_ROWS))
+    limit = F.lit(share) * counts.agg(F.sum(_ROWS)).scalar()
+    return counts.filter(F.col(_ROWS) > limit).select(
+        *keys, F.ceil(F.col(_ROWS) / limit).cast("int").alias(_SALTS))
 
 
 def join_unique(

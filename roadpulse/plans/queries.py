@@ -17,6 +17,7 @@ from roadpulse.plans.jobs import result_order
 from roadpulse.schemas import (
     ALERT_COLUMNS, ALERTS, JAM_COLUMNS, KIND_ALERT, KIND_JAM, struct,
 )
+from roadpulse.session import materialise
 from roadpulse.sinks import keyed
 from roadpulse.sources import feeds, tables
 from pyspark.sql import types as T
@@ -408,7 +409,10 @@ def collection_documents(spark, sf):
 
 
 def _results(spark, sf):
-    return rollups.result_tables(b.alerts(spark, sf), b.jams(spark, sf), b.staged_alerts(spark, sf))
+    """All result tables over written clean tables, as the daily job computes them."""
+    alerts, jams = materialise(b.alerts(spark, sf)), materialise(b.jams(spark, sf))
+    cube = materialise(rollups.alert_cube(alerts))
+    return rollups.result_tables(alerts, jams, b.staged_alerts(spark, sf), cube)
 
 
 @query

@@ -1,10 +1,11 @@
-"""Session helpers: a local session for tests and benchmarks, and the checkpoint folder."""
+"""Session helpers: a local session for tests and benchmarks, and written intermediate tables."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cores: int | str = 8, name: str = "roadpulse", **conf: str) -> SparkSession:
@@ -24,13 +25,31 @@ def local_session(cores: int | str = 8, name: str = "roadpulse", **conf: str) ->
     return builder.getOrCreate()
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder named in `spark.checkpoint.dir`; invent one only in local mode."""
-    if spark.sparkContext.getCheckpointDir() is not None:
-        return
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        folder = tempfile.mkdtemp(prefix="roadpulse-checkpoint-")
-    spark.sparkContext.setCheckpointDir(folder)
+def shared_folder(spark: SparkSession) -> str:
+    """The shared folder named in `spark.checkpoint.dir`; one is invented only in local mode."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if folder is None:
+            if not context.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+            folder = tempfile.mkdtemp(prefix="roadpulse-checkpoint-")
+        context.setCheckpointDir(folder)
+    return f"{context.getCheckpointDir()}/roadpulse-{context.applicationId}"
+
+
+def materialise(df: DataFrame) -> DataFrame:
+    """Write the rows to the shared folder and read them back: runs a job and cuts lineage.
+
+    A Parquet table rather than `checkpoint()`: it is computed once, later readers take only
+    the columns they need, and its size is known to the planner. Executors may be lost.
+    """
+    path = f"{shared_folder(df.sparkSession)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_materialised(spark: SparkSession) -> None:
+    """Delete what `materialise` wrote in this application; call it when the results are out."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
