@@ -28,11 +28,12 @@ def normalize_city(col: Column) -> Column:
     regular expression beyond the test, and `initcap` is right for them. The rest (other
     signs, a letter right after a digit, runs of spaces) goes part by part.
     """
-    plain = F.translate(col, ",", ";")
+    separated = F.replace(col, F.lit(","), F.lit(";"))
+    plain = separated
     for gap in (" ;", "; "):
         plain = F.replace(plain, F.lit(gap), F.lit(";"))
     words = F.initcap(F.replace(F.trim(plain), F.lit(";"), F.lit("; ")))
-    parts = F.split(F.translate(col, ",", ";"), ";")
+    parts = F.split(separated, ";")
     by_part = F.array_join(F.transform(parts, lambda part: title_case(strip(part))), ";")
     unusual = col.rlike(r"[^\p{L}\p{N} ,;]|\p{N}\p{L}|  ")
     return F.when(unusual, by_part).otherwise(F.replace(words, F.lit("; "), F.lit(";")))

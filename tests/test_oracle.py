@@ -1,0 +1,30 @@
+"""Every registered query against its SQL equivalent, whole tables."""
+
+import os
+
+import pytest
+
+import __spark_entry__ as entry_points
+from tests.compare import connect, difference
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+@pytest.fixture(scope="module")
+def con():
+    return connect(SF_DIR)
+
+
+def test_every_query_has_sql():
+    assert set(entry_points.queries()) == set(entry_points.oracle_sql())
+
+
+@pytest.mark.parametrize("name", sorted(entry_points.queries()))
+def test_query(spark, con, name):
+    ours = entry_points.queries()[name](spark, SF_DIR)
+    assert difference(ours, con, entry_points.oracle_sql()[name]) is None
+
+
+def test_entry(spark):
+    rows = entry_points.entry(spark)
+    assert rows.columns == ["comuna", "cantidad_accidentes"] and rows.count() == 5
