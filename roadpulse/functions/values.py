@@ -31,11 +31,18 @@ def hour_label(hora: Column) -> Column:
     return F.coalesce(hora, F.lit(NO_HOUR))
 
 
+def seconds_of(stamp: Column) -> Column:
+    """Whole seconds since 1970 of a `timestamp_ntz`, from its calendar fields.
+
+    Subtracting timestamps would take them through the session's time zone and its gaps.
+    """
+    days = F.datediff(stamp.cast("date"), F.lit("1970-01-01").cast("date")).cast("long")
+    return days * 86400 + F.hour(stamp) * 3600 + F.minute(stamp) * 60 + F.second(stamp)
+
+
 def epoch_seconds(fecha: Column) -> Column:
-    """Whole seconds since 1970 of a `YYYY-MM-DD HH:MM:SS` text, free of any time zone."""
-    stamp = F.substring(fecha, 1, 19).try_cast("timestamp_ntz")
-    zero = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return F.timestamp_diff("SECOND", zero, stamp)
+    """Whole seconds since 1970 of a `YYYY-MM-DD HH:MM:SS` text; null if it is none."""
+    return seconds_of(F.substring(fecha, 1, 19).try_cast("timestamp_ntz"))
 
 
 def share_percent(part: Column, whole: Column) -> Column:

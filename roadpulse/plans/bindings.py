@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from roadpulse.functions.values import seconds_of
 from roadpulse.operators.lookup import tagged_keys
 from roadpulse.operators.quality import clean_alerts, clean_jams
 from roadpulse.operators.staging import stage_alerts, stage_jams
@@ -45,11 +46,10 @@ def _second_text(ts: Column) -> Column:
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """events plus `k` (from the JSON text), `fecha` and `segundo` (whole seconds)."""
-    zero = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
     return table(spark, sf_dir, "events").withColumns({
         "k": F.get_json_object("props", "$.k").cast("int"),
         "fecha": _second_text(F.col("ts")),
-        "segundo": F.timestamp_diff("SECOND", zero, F.col("ts")),
+        "segundo": seconds_of(F.col("ts")),
     })
 
 

@@ -15,9 +15,12 @@ def run_name(now: datetime) -> str:
 
 
 def write_run(df: DataFrame, path: str, run: str) -> None:
-    """Write one run of a table. Running it again replaces that run and no other."""
-    (df.withColumn("run_id", F.lit(run)).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy("run_id").parquet(path))
+    """Write one run of a table. Running it again replaces that run and no other.
+
+    The run's folder is written directly, as a partition of `path`, so that a run without
+    rows leaves its mark too and is not mistaken for the one before.
+    """
+    df.write.mode("overwrite").parquet(f"{path}/run_id={run}")
 
 
 def write_csv(df: DataFrame, path: str, *, header: bool = True, single_file: bool = False) -> None:
