@@ -120,8 +120,11 @@ def approximate_key_counts(items: DataFrame, key: str = "uuid", error: float = 0
 
 
 def mixed_keys(items: DataFrame) -> DataFrame:
-    """Keys that occur as an alert and as a jam."""
-    def keys(kind: str) -> DataFrame:
-        return items.filter(F.col("kind") == kind).select("uuid")
+    """Keys that occur as an alert and as a jam.
 
-    return keys(KIND_ALERT).intersect(keys(KIND_JAM))
+    One aggregation instead of an intersection, which would join the rows of a hot key.
+    """
+    kinds = {kind: F.bool_or(F.col("kind") == kind) for kind in (KIND_ALERT, KIND_JAM)}
+    seen = items.filter(F.col("uuid").isNotNull()).groupBy("uuid").agg(
+        *[test.alias(kind) for kind, test in kinds.items()])
+    return seen.filter(F.col(KIND_ALERT) & F.col(KIND_JAM)).select("uuid")

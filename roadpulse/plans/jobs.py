@@ -13,6 +13,7 @@ from roadpulse.operators.numbering import number_rows
 from roadpulse.operators.quality import clean_alerts, clean_jams
 from roadpulse.operators.rollups import alert_cube, result_tables
 from roadpulse.operators.staging import stage_alerts, stage_jams
+from roadpulse.session import materialise
 from roadpulse.sinks.keyed import insert_if_absent, read_inserted, write_documents
 from roadpulse.sinks.writers import counted, write_metrics, write_run
 from roadpulse.sources.feeds import (
@@ -39,8 +40,11 @@ def result_order(name: str) -> list:
 
 
 def ingest(spark: SparkSession, feed: str, store: str, batch: int) -> DataFrame:
-    """Add unseen alerts and jams of the feed files to the store; returns the unusable files."""
-    documents = read_feed(spark, feed)
+    """Add unseen alerts and jams of the feed files to the store; returns the unusable files.
+
+    The JSON is parsed once: alerts, jams and the quarantine all read the written documents.
+    """
+    documents = materialise(read_feed(spark, feed))
     good = good_documents(documents)
     order = ["file", "cell", "pos"]
     insert_if_absent(unnest_alerts(good), f"{store}/alertas", ["uuid"], order, batch)

@@ -396,6 +396,14 @@ FROM (SELECT coalesce(tipo, 'todos') AS tipo, count(*) AS total_requests,
              max(segundo) - min(segundo) AS elapsed_seconds
       FROM log GROUP BY GROUPING SETS ((), (tipo)))""", "log")
 
+sql("latency_percentiles", """
+SELECT resultado, count(*) AS n, CAST(min(ms) FILTER (r * 100 >= total * 50) AS DOUBLE) AS p50,
+       CAST(min(ms) FILTER (r * 100 >= total * 90) AS DOUBLE) AS p90,
+       CAST(min(ms) FILTER (r * 100 >= total * 99) AS DOUBLE) AS p99
+FROM (SELECT resultado, ms, row_number() OVER (PARTITION BY resultado ORDER BY ms) AS r,
+             count(*) OVER (PARTITION BY resultado) AS total FROM log WHERE ms IS NOT NULL)
+GROUP BY resultado""", "log")
+
 
 def ttl_sql(keys: str, source: str) -> tuple[str, str]:
     """(needs-free CTE text, body) that follows each key from fill to fill."""

@@ -418,7 +418,8 @@ def _results(spark, sf):
 @query
 def result_documents(spark, sf):
     """A small ranking and the row-level jam table as documents in the common form."""
-    ranking, longest = rollups.alerts_by_city(b.alerts(spark, sf)), rollups.longest_jams(b.jams(spark, sf))
+    ranking = rollups.alerts_by_city(b.alerts(spark, sf))
+    longest = rollups.longest_jams(materialise(b.jams(spark, sf)))
     named = {"comunas_con_mas_alertas": ranking, "atascos_largos": longest.select("uuid", "length", "city")}
     return docs.united([
         docs.as_index_rows(docs.result_documents(name, df, result_order(name), PROCESSED_AT))
@@ -466,6 +467,11 @@ def request_summary(spark, sf):
     return whole.unionByName(lookup.request_summary(log, ("tipo",)))
 
 
+@query
+def latency_percentiles(spark, sf):
+    return lookup.latency_percentiles(b.request_log(spark, sf))
+
+
 @query
 def ttl_first_seen(spark, sf):
     return suppression.fill_moments(b.events(spark, sf), ["user_id"], "segundo")

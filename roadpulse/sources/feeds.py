@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from roadpulse.schemas import FEED, FLAT_OBJECT, KIND_ALERT, KIND_JAM
 
@@ -63,17 +63,20 @@ def unnest_jams(documents: DataFrame) -> DataFrame:
 def feed_items(documents: DataFrame) -> DataFrame:
     """All objects of both kinds as (file, pos, kind, uuid) for the duplicate reports.
 
-    `pos` puts cells in order, and the jams of a cell before its alerts.
+    `pos` puts cells in order, and the jams of a cell before its alerts. Both lists of a cell
+    are opened in one step, so the documents are parsed once.
     """
-    place = (F.col("cell").cast("long") * 2 + F.col("second")) * (1 << 31) + F.col("pos")
+    def part(objects: Column, kind: str, second: int) -> Column:
+        def item(o: Column, i: Column) -> Column:
+            place = (F.col("cell").cast("long") * 2 + second) * (1 << 31) + i
+            return F.struct(place.alias("pos"), F.lit(kind).alias("kind"),
+                            o["uuid"].cast("string").alias("uuid"))
 
-    def part(rows: DataFrame, kind: str, second: int) -> DataFrame:
-        return rows.withColumn("second", F.lit(second)).select(
-            "file", place.alias("pos"), F.lit(kind).alias("kind"),
-            F.col("uuid").cast("string").alias("uuid"))
+        return F.coalesce(F.transform(objects, item), F.array())
 
-    return part(unnest_jams(documents), KIND_JAM, 0).unionByName(
-        part(unnest_alerts(documents), KIND_ALERT, 1))
+    both = F.concat(part(F.col("celda.data.jams"), KIND_JAM, 0),
+                    part(F.col("celda.data.alerts"), KIND_ALERT, 1))
+    return _cells(documents).select("file", F.inline(both))
 
 
 def parse_flat_feed(texts: DataFrame, text: str = "text", file: str = "file") -> DataFrame:

@@ -34,8 +34,10 @@ def ingest_feed(
     order = ["file", "cell", "pos"]
 
     def store(batch: DataFrame, number: int) -> None:
+        batch.persist()         # read and parsed once for both collections
         insert_if_absent(unnest_alerts(batch), alerts_path, ["uuid"], order, number)
         insert_if_absent(unnest_jams(batch), jams_path, ["uuid"], order, number)
+        batch.unpersist()
 
     return (
         stream_feed(spark, path, files_per_trigger).writeStream.foreachBatch(store)

@@ -340,3 +340,42 @@ def test_report_fields_have_defaults(spark):
 def test_complete_jams_drops_null_length(spark):
     df = spark.createDataFrame([jam("1", length=None), jam("2")], JAMS)
     assert [r.uuid for r in quality.complete(df, JAM_COLUMNS).collect()] == ["2"]
+
+
+def test_bounding_box_reaches_the_scan(spark, tmp_path):
+    path = str(tmp_path / "points")
+    spark.createDataFrame([alert("a", x=-70.9, y=-33.3), alert("b")], ALERTS).write.parquet(path)
+    df = grid.within_bounds(spark.read.parquet(path), -33.2, -33.4, -71.0, -70.8).select("uuid")
+    text = plan(df)
+    assert [r.uuid for r in df.collect()] == ["a"]
+    assert "GreaterThanOrEqual(location_x,-71.0)" in text and "confidence" not in text.split("ReadSchema")[1].split("\n")[0]
+
+
+def test_counting_shuffles_only_what_it_needs(spark, tmp_path):
+    path = str(tmp_path / "alerts")
+    some_alerts(spark).withColumn("seq", F.monotonically_increasing_id()).write.parquet(path)
+    clean = quality.clean_alerts(spark.read.parquet(path), ("seq",))
+    shuffled = [line for line in rollups.count_rows(clean)._jdf.queryExecution().optimizedPlan().toString().split("\n")
+                if "Window [" in line or "Project [" in line]
+    assert not any("location_x" in line for line in shuffled)
+
+
+def test_approximate_key_counts(spark):
+    rows = spark.range(3000).select((F.col("id") % 1000).cast("string").alias("uuid"))
+    total, distinct = dup.approximate_key_counts(rows).first()
+    assert total == 3000 and abs(distinct - 1000) < 50
+
+
+def test_a_third_of_all_requests_on_one_key_is_spread(spark):
+    rows = spark.range(30000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(-1)).otherwise(F.col("id")).alias("k"), "id")
+    table = spark.range(-1, 30000).select(F.col("id").alias("k"), F.lit(1).alias("v"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = skew.join_unique(rows, table, ["k"], "inner", share=0.01)
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sum(sizes) == 30000 and max(sizes) < 30000 / 8 * 1.5
