@@ -6,6 +6,10 @@ where rows are materialised: a lost executor costs the tasks it ran, not the who
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from roadpulse.operators.documents import as_index_rows, result_documents, united
@@ -59,20 +63,28 @@ def _with_position(documents: DataFrame) -> tuple[DataFrame, str | None]:
     return number_rows(documents, ["file", "cell", "pos"], "position"), "position"
 
 
+def _side_by_side(actions: list[Callable[[], None]]) -> None:
+    """Run independent writes at the same time, so small ones do not wait for large ones."""
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        for done in [pool.submit(action) for action in actions]:
+            done.result()
+
+
 def clean(spark: SparkSession, store: str, out: str, run: str) -> None:
     """Stage and clean the stored documents into run-stamped tables, with row counts."""
-    staged = {
-        "alertas": stage_alerts(*_with_position(read_inserted(spark, f"{store}/alertas"))),
-        "atascos": stage_jams(*_with_position(read_inserted(spark, f"{store}/atascos"))),
-    }
-    cleaners = {"alertas": clean_alerts, "atascos": clean_jams}
+    kinds = {"alertas": (stage_alerts, clean_alerts), "atascos": (stage_jams, clean_jams)}
     seen = {}
-    for kind, rows in staged.items():
-        write_run(rows, f"{out}/{kind}_preparadas", run)
+
+    def clean_kind(kind: str) -> None:
+        stage, keep = kinds[kind]
+        staged = stage(*_with_position(read_inserted(spark, f"{store}/{kind}")))
+        write_run(staged, f"{out}/{kind}_preparadas", run)
         prepared = spark.read.parquet(f"{out}/{kind}_preparadas/run_id={run}")
         prepared, seen[f"{kind}_total"] = counted(prepared, f"{kind}_total")
-        kept, seen[f"{kind}_limpias"] = counted(cleaners[kind](prepared), f"{kind}_limpias")
+        kept, seen[f"{kind}_limpias"] = counted(keep(prepared), f"{kind}_limpias")
         write_run(kept, f"{out}/{kind}_limpias", run)
+
+    _side_by_side([partial(clean_kind, kind) for kind in kinds])
     write_metrics(spark, seen, f"{out}/metricas", run)
 
 
@@ -84,8 +96,7 @@ def rank(spark: SparkSession, cleaned: str, out: str, run: str) -> dict[str, Dat
     write_run(alert_cube(alerts), f"{out}/cubo_alertas", run)
     cube = spark.read.parquet(f"{out}/cubo_alertas/run_id={run}")
     results = result_tables(alerts, jams, raw, cube)
-    for name, df in results.items():
-        write_run(df, f"{out}/{name}", run)
+    _side_by_side([partial(write_run, df, f"{out}/{name}", run) for name, df in results.items()])
     return {name: spark.read.parquet(f"{out}/{name}/run_id={run}") for name in results}
 
 
