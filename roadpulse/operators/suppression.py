@@ -12,12 +12,15 @@ most `chunk` distinct seconds and `ttl` entries, and the fold one row per chunk.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from roadpulse.operators.lookup import FOUND, lookup_tagged
 from roadpulse.schemas import HIT, MISS, NOT_FOUND
 
 TTL_SECONDS = 300               # fixed value of the lookup service
+DENSE_STEPS = 20_000            # work per chunk above which all entries are solved together
 _NEVER = -(1 << 60)             # "no fill yet": far enough back for any time-to-live
 
 
@@ -25,6 +28,33 @@ def _last_fill(moments: Column, entry: Column, ttl: int) -> Column:
     return F.aggregate(moments, entry, lambda last, t: F.when(t - last >= ttl, t).otherwise(last))
 
 
+def _ends_of_dense_chunks(moments: Column, entries: Column, ttl: int) -> Column:
+    """The last fill for each entry of a chunk, for all entries at once.
+
+    Every moment points to the first one at least `ttl` later; following the pointers by
+    doubling gives the end of the chain from each moment. Null arrays stay null.
+    """
+    @F.pandas_udf("array<bigint>")
+    def ends(moments: pd.Series, entries: pd.Series) -> pd.Series:
+        found = []
+        for times, entered in zip(moments, entries):
+            if times is None:
+                found.append(None)
+                continue
+            times, entered = np.asarray(times), np.asarray(entered)
+            following = np.searchsorted(times, times + ttl)
+            jump = np.where(following < len(times), following, np.arange(len(times)))
+            while not np.array_equal(jump, further := jump[jump]):
+                jump = further
+            first = np.searchsorted(times, entered + ttl)
+            inside = first < len(times)
+            end = times[jump[np.where(inside, first, 0)]]
+            found.append(np.where(inside, end, entered))
+        return pd.Series(found, dtype=object)
+
+    return ends(moments, entries)
+
+
 def _all_fills(moments: Column, entry: Column, ttl: int) -> Column:
     start = F.struct(entry.alias("last"), F.array().cast("array<bigint>").alias("fills"))
 
@@ -56,17 +86,26 @@ def fill_moments(
         .filter(F.size("__moments") > 0)
     )
     never = F.lit(_NEVER)
-    ends = chunks.select(
+    # Few events: fold in place. Many: the fold would take |moments| steps for each entry, so
+    # those chunks (and only those; the others pass nulls) go to the vectorised function.
+    dense = F.size("__moments").cast("long") * F.size("__entries") > DENSE_STEPS
+    # A chunk matters to another one only if it can be entered or its last event reaches on.
+    reaches_on = F.element_at("__moments", -1) > (F.col("__chunk") + 1) * chunk - ttl
+    ends = chunks.filter((F.size("__entries") > 0) | reaches_on).select(
         *keys, "__chunk",
         _last_fill(F.col("__moments"), never, ttl).alias("__fresh_end"),
-        F.map_from_arrays("__entries", F.transform(
-            "__entries", lambda e: _last_fill(F.col("__moments"), e, ttl))).alias("__end_after"),
+        F.map_from_arrays("__entries", F.when(dense, _ends_of_dense_chunks(
+            F.when(dense, F.col("__moments")), F.when(dense, F.col("__entries")), ttl)).otherwise(
+            F.transform("__entries", lambda e: _last_fill(F.col("__moments"), e, ttl)))
+        ).alias("__end_after"),
     )
     entered = _fold_chunks(ends, keys).filter(F.col("__entry") != never)
+    # Reading __entries here too keeps both uses of `chunks` alike, so its shuffle is reused.
+    entry = F.when(F.size(chunks["__entries"]) > 0, F.coalesce(entered["__entry"], never)).otherwise(never)
     return (
-        chunks.drop("__entries").join(entered, _same(chunks, entered, [*keys, "__chunk"]), "left")
-        .select(*[chunks[k] for k in keys], F.explode(_all_fills(
-            chunks["__moments"], F.coalesce(entered["__entry"], never), ttl)).alias(second))
+        chunks.join(entered, _same(chunks, entered, [*keys, "__chunk"]), "left")
+        .select(*[chunks[k] for k in keys],
+                F.explode(_all_fills(chunks["__moments"], entry, ttl)).alias(second))
     )
 
 

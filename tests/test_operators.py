@@ -245,6 +245,16 @@ def test_ttl_against_a_plain_loop(spark, ttl, chunk, gap):
     assert len(got) == len(set(got)) and set(got) == fills_by_hand(events, ttl)
 
 
+def test_ttl_of_a_dense_key_takes_the_vectorised_way(spark, monkeypatch):
+    rng = random.Random(8)
+    events = [("hot", t) for t in range(5000) if rng.random() < 0.9] + [("k", t) for t in range(0, 5000, 7)]
+    df = spark.createDataFrame(events, "k string, t long")
+    want = fills_by_hand(events, 60)
+    for steps in (0, 500, 10**9):
+        monkeypatch.setattr(suppression, "DENSE_STEPS", steps)
+        assert {tuple(r) for r in suppression.fill_moments(df, ["k"], "t", 60, 600).collect()} == want
+
+
 def test_request_outcomes(spark):
     asked = [("alerta", "a", 0), ("alerta", "a", 0), ("alerta", "a", 299), ("alerta", "a", 300),
              ("alerta", "zz", 5), ("atasco", "a", 6), ("alerta", "zz", 7)]
