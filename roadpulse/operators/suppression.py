@@ -102,10 +102,11 @@ def fill_moments(
     entered = _fold_chunks(ends, keys).filter(F.col("__entry") != never)
     # Reading __entries here too keeps both uses of `chunks` alike, so its shuffle is reused.
     entry = F.when(F.size(chunks["__entries"]) > 0, F.coalesce(entered["__entry"], never)).otherwise(never)
+    alone = (F.size(chunks["__moments"]) == 1) & (entry == never)       # most chunks of quiet keys
+    fills = F.when(alone, chunks["__moments"]).otherwise(_all_fills(chunks["__moments"], entry, ttl))
     return (
         chunks.join(entered, _same(chunks, entered, [*keys, "__chunk"]), "left")
-        .select(*[chunks[k] for k in keys],
-                F.explode(_all_fills(chunks["__moments"], entry, ttl)).alias(second))
+        .select(*[chunks[k] for k in keys], F.explode(fills).alias(second))
     )
 
 
