@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from roadpulse.functions.text import normalize_city
 from roadpulse.functions.values import first_present
-from roadpulse.schemas import ALERT_COLUMNS, ALERTS, JAM_COLUMNS, NOT_AVAILABLE
+from roadpulse.schemas import ALERTS, NOT_AVAILABLE
 
 
 def text_or_empty(name: str) -> Column:
@@ -74,11 +74,3 @@ def report_fields(alerts: DataFrame, file: str = "file") -> DataFrame:
     shown = [F.coalesce(F.col(c), F.lit(NOT_AVAILABLE)).alias(name) for c, name in
              (("subtype", "subtype"), ("type", "type"), ("reportBy", "reportby"), ("city", "city"))]
     return alerts.select("uuid", *shown, F.col(file).alias("file"), "pos")
-
-
-def alert_rows(df: DataFrame) -> DataFrame:
-    return df.select(*ALERT_COLUMNS)
-
-
-def jam_rows(df: DataFrame) -> DataFrame:
-    return df.select(*JAM_COLUMNS)
