@@ -3,7 +3,7 @@
 For each language two histograms are summed over all its documents: eight classes of characters,
 and the language's commonest function words with one place for all other words. A document's own
 histograms are compared with these references by the Jensen-Shannon distance (base 2, 0 to 1). It is
-rejected if either distance is above its limit. Documents of fewer than `MIN_WORDS` words, and
+rejected if either distance is above its limit, which is wider for short texts. Documents of fewer than `MIN_WORDS` words, and
 languages of fewer than `MIN_REFERENCE_WORDS`, aren't judged by distance: such histograms say little.
 
 Before that a base rule rejects documents of fewer than ten words, and those in which more than a
@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from math import sqrt
 
 import numpy as np
 import pandas as pd
@@ -38,7 +39,10 @@ WHITE = " \t\n\v\f\r"
 MARKS = b".,;:!?'\"()-#*$%&|<>"
 WINDOW = 5
 MIN_WORDS, MIN_REFERENCE_WORDS = 50, 1000
-CHAR_LIMIT, WORD_LIMIT = 0.35, 0.45
+#: A histogram of n words is off by about 1/sqrt(n) by chance alone, so limits are wider for short texts:
+#: a distance must exceed limit + noise / sqrt(n).
+CHAR_LIMIT, CHAR_NOISE = 0.22, 0.8
+WORD_LIMIT, WORD_NOISE = 0.22, 1.4
 #: Character classes: vowels, consonants, capitals, letters beyond ASCII, digits, white space, marks of prose, the rest.
 CLASSES = 8
 VERDICT = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
@@ -148,11 +152,13 @@ def judge_text(text: str, lang: str, known: dict) -> tuple:
     n, again = len(words), repeated_words(words)
     failed = n < 10 or 100 * again > 20 * n
     by_char = by_word = 0.0
+    far = False
     if n >= MIN_WORDS and known[lang][1].sum() >= MIN_REFERENCE_WORDS:
         by_char = distance(char_histogram(text), known[lang][0])
         by_word = distance(word_histogram(words, lang), known[lang][1])
+        far = by_char > CHAR_LIMIT + CHAR_NOISE / sqrt(n) or by_word > WORD_LIMIT + WORD_NOISE / sqrt(n)
     return (n, len(text) - sum(map(text.count, WHITE)), sum(map(text.count, SYMBOLS)), repeated_lines(text), again,
-            failed, by_char, by_word, not failed and by_char <= CHAR_LIMIT and by_word <= WORD_LIMIT)
+            failed, by_char, by_word, not failed and not far)
 
 
 def judge(docs: DataFrame, columns: list[str]) -> DataFrame:
