@@ -8,13 +8,17 @@ are one class from the start, so that copies cost nothing below.
    more than r away, since at least so many of the n are missing from it. (Whole documents don't serve as
    pivots here: nearly all distances between unrelated documents are 1, so every window would hold
    everything.) Regions with one class end there, and of regions with equal members one is kept.
-2. A region too large for a task gets a document as its pivot and is cut into shells of width r by the
-   distance to it. By the triangle inequality classes that link lie in the same shell or in neighbours, so
-   a class is copied to its own shell and the next. Shells that are still too large are cut into blocks by
-   hash, and each pair of blocks is a cell.
-3. Within a cell pivots are drawn again, each class goes to its nearest pivot and to every other that is at
-   most 2 r further away, and the regions so made are joined in the same way, until they are small or
-   no longer shrink; then intersections are counted for all pairs by a matrix product.
+2. In a region, parity sketches are compared: of n shingles hashed to about n bits, each flips one. The
+   Hamming distance of two sketches is a metric and never more than the size of the symmetric difference,
+   which for a link is at most (1 - t) / (1 + t) times both sizes. The empty set is the pivot of this level:
+   sizes are distances to it, so only sets of like size can link. Regions too large for a task are cut
+   into shells by it, with each class copied to its own shell and the next, and shells that are still
+   too large into blocks by hash, of which each pair is a cell. What may link is joined to families.
+3. A family's whole sets meet, each shipped once. Pivots are drawn from it, each class goes to its nearest
+   pivot and to every other that is at most 2 r further away, and the regions so made are joined in the
+   same way until they are small or no longer shrink; then intersections are counted for all pairs by a
+   matrix product. A family too large for a task gets a document as its pivot and is first cut into shells
+   of width r by the distance to it (and into pairs of blocks, as above).
 
 A cell returns a star for each connected group, not its pairs. Stars are joined over all cells by
 alternating large-star and small-star steps, so a chain of links of any length ends in one component.
@@ -35,7 +39,7 @@ from hashlib import blake2b
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from roadpulse.llm.boilerplate import key_of
 from roadpulse.llm.text import text_of
@@ -45,12 +49,18 @@ from roadpulse.session import materialise
 HOT_COUNT, HOT_SHINGLES = 32, 1 << 20
 #: Shingles that a task gathers before it passes them on, and those of one cell.
 GATHER, CELL = 1 << 21, 1 << 22
+#: Classes whose sketches one cell compares.
+MEMBERS = 1 << 13
 #: Classes that are compared by a matrix product rather than divided again, and its columns at a time.
 SMALL, COLUMNS = 256, 1 << 14
 #: Keys of candidate documents are broadcast while there are at most so many (about 50 MB).
 BROADCAST_KEYS = 1 << 20
 
 
+#: Odd multipliers that tell the places of a shingle apart.
+_ODD = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
+
+
 # -- shingles -----------------------------------------------------------------------------------
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -60,17 +70,52 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+class _Powers:
+    """Powers of an odd multiplier and of its inverse, modulo 2^64, as far as they were needed."""
+
+    base = 0x9E3779B97F4A7C15
+    up = down = np.ones(1, dtype=np.uint64)
+
+    @classmethod
+    def upto(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(cls.up) < n:
+            def powers(x: int) -> np.ndarray:
+                out = np.full(max(n, 2 * len(cls.up)), x, dtype=np.uint64)
+                out[0] = 1
+                return np.multiply.accumulate(out)
+            cls.up, cls.down = powers(cls.base), powers(pow(cls.base, -1, 1 << 64))
+        return cls.up, cls.down
+
+
+# Bytes with capitals made small, and 0 for white space: of bytes only ASCII counts for both.
+_FOLDED = np.array([0 if c in b" \t\n\v\f\r" else c + 33 if 65 <= c <= 90 else c + 1 for c in range(256)], dtype=np.uint64)
+
+
+def word_hashes(text: object) -> np.ndarray:
+    """A 64-bit hash of each word: its bytes as a polynomial, from running sums over the whole text."""
+    data = text_of(text).encode()
+    points = _FOLDED[np.frombuffer(data, dtype=np.uint8)]
+    edges = np.flatnonzero(np.diff((points > 0).view(np.int8), prepend=np.int8(0), append=np.int8(0)))
+    starts, ends = edges[::2], edges[1::2]
+    up, down = _Powers.upto(len(data) + 1)
+    sums = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum(points * up[:len(data)], out=sums[1:])
+    out = _mix((sums[ends] - sums[starts]) * down[starts])
+    for i in np.flatnonzero(ends - starts > 512):  # where polynomials of this kind could be made to collide
+        out[i] = xxhash.xxh3_64_intdigest(data[starts[i]:ends[i]].lower())
+    return out
+
+
 def shingles(text: object, k: int) -> np.ndarray:
     """The distinct shingles of `k` words as sorted 64-bit hashes; of a shorter text its whole sequence."""
-    words = text_of(text).encode().lower().split()  # of bytes only ASCII letters and white space count
-    if not words:
+    hashed = word_hashes(text)
+    size = min(k, len(hashed))
+    if not size:
         return np.empty(0, dtype=np.uint64)
-    hashed = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-    size = min(k, len(words))
-    out = np.full(len(words) - size + 1, size, dtype=np.uint64)
+    out = np.full(len(hashed) - size + 1, size, dtype=np.uint64)
     for i in range(size):
-        out = _mix(out + hashed[i:len(hashed) - size + 1 + i] * np.uint64(0x9E3779B97F4A7C15))
-    return np.unique(out)
+        out += hashed[i:len(hashed) - size + 1 + i] * np.uint64(_ODD[i % len(_ODD)] + 2 * (i // len(_ODD)))
+    return np.unique(_mix(out))
 
 
 def prefix_length(n: int, percent: int) -> int:
@@ -152,10 +197,17 @@ def _gathered(arrays: Iterator, pack) -> Iterator[pd.DataFrame]:
         yield pack(held)
 
 
+def parity(hashes: np.ndarray) -> bytes:
+    """A bit for each bucket, set if an odd number of shingles falls into it; n to 2 n buckets, at least 64."""
+    buckets = max(64, 1 << max(0, len(hashes) - 1).bit_length())
+    counts = np.bincount((hashes & np.uint64(buckets - 1)).astype(np.int64), minlength=buckets)
+    return np.packbits(counts & 1, bitorder="little").tobytes()
+
+
 # -- regions ------------------------------------------------------------------------------------
 
 def sketch_documents(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """For each document its keys, set size, class, and the frequent and rare shingles of its prefix."""
+    """For each document its keys, set size, class, parity sketch, and the frequent and rare shingles of its prefix."""
     bits = bucket_bits(docs.sparkSession)
     hot = docs.sparkSession.sparkContext.broadcast(hot_shingles(docs, k))
 
@@ -171,17 +223,17 @@ def sketch_documents(docs: DataFrame, k: int, percent: int) -> DataFrame:
         name = blake2b(found.tobytes(), digest_size=16).digest() if len(found) else None
         often = n[first] > 0
         signed = found.view(np.int64)
-        return len(found), name, signed[first[often]], signed[first[~often]]
+        return len(found), name, parity(found), signed[first[often]], signed[first[~often]]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = pd.DataFrame([sketch(t) for t in batch.pop("text")], columns=["n", "class", "hot", "rare"],
+            rows = pd.DataFrame([sketch(t) for t in batch.pop("text")], columns=["n", "class", "sketch", "hot", "rare"],
                                 index=batch.index)
             yield pd.concat([batch, rows], axis=1)
 
     d1, d2 = key_of(F.col("doc_id"), F.col("text"))
     return materialise(docs.select("doc_id", d1.alias("d1"), d2.alias("d2"), "text").mapInPandas(
-        run, "doc_id long, d1 long, d2 long, n long, class binary, hot array<long>, rare array<long>"))
+        run, "doc_id long, d1 long, d2 long, n long, class binary, sketch binary, hot array<long>, rare array<long>"))
 
 
 def rare_regions(sketches: DataFrame) -> DataFrame:
@@ -192,28 +244,29 @@ def rare_regions(sketches: DataFrame) -> DataFrame:
     bits = bucket_bits(sketches.sparkSession)
 
     def pack(gathered: list[np.ndarray]) -> pd.DataFrame:
-        pairs = np.unique(np.concatenate(gathered))
+        pairs = np.concatenate(gathered)
+        pairs = pairs[np.argsort(pairs[:, 0])]
         return pd.DataFrame([(bucket, pairs[at].tobytes()) for bucket, at in _by_bucket(
-            (pairs["pivot"] >> np.uint64(64 - bits)).astype(np.int64))], columns=["bucket", "pairs"])
-
-    kind = np.dtype([("pivot", "<u8"), ("class", "S16")])
+            (pairs[:, 0] >> np.uint64(64 - bits)).astype(np.int64))], columns=["bucket", "pairs"])
 
     def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def arrays() -> Iterator[np.ndarray]:
             for batch in batches:
                 for name, rare in zip(batch["class"], batch["rare"]):
-                    out = np.empty(len(rare), dtype=kind)
-                    out["pivot"], out["class"] = np.asarray(rare, dtype=np.int64).view(np.uint64), name
+                    out = np.empty((len(rare), 3), dtype=np.uint64)
+                    out[:, 0] = np.asarray(rare, dtype=np.int64).view(np.uint64)
+                    out[:, 1:] = np.frombuffer(name, dtype=np.uint64)
                     yield out
         yield from _gathered(arrays(), pack)
 
     def meet(rows: pd.DataFrame) -> pd.DataFrame:
-        pairs = np.unique(np.concatenate([np.frombuffer(b, dtype=kind) for b in rows["pairs"]]))
-        pivots = pairs["pivot"]
-        same = pivots[1:] == pivots[:-1]
-        shared = np.append(same, False) | np.insert(same, 0, False)
-        names = [c.ljust(16, b"\0") for c in pairs["class"][shared].tolist()]  # S16 drops zeros at the end
-        return pd.DataFrame({"pivot": pivots[shared].view(np.int64), "class": names})
+        pairs = np.concatenate([np.frombuffer(b, dtype=np.uint64).reshape(-1, 3) for b in rows["pairs"]])
+        pairs = pairs[np.lexsort(pairs.T[::-1])]
+        pairs = pairs[np.append(True, (pairs[1:] != pairs[:-1]).any(axis=1))]  # copies are one class
+        same = pairs[1:, 0] == pairs[:-1, 0]
+        shared = pairs[np.append(same, False) | np.insert(same, 0, False)]
+        return pd.DataFrame({"pivot": shared[:, 0].astype(np.int64),
+                             "class": [row.tobytes() for row in shared[:, 1:]]})
 
     return (sketches.filter(F.size("rare") > 0).select("class", "rare")
             .mapInPandas(gather, "bucket long, pairs binary")
@@ -232,7 +285,7 @@ def regions(sketches: DataFrame) -> DataFrame:
 
 
 def sets_of(docs: DataFrame, sketches: DataFrame, members: DataFrame, k: int) -> DataFrame:
-    """(class, n, shingles) of every class that has a region, from one document of each."""
+    """(class, n, shingles) of every class that has a family, from one document of each."""
     wanted = members.select("class").distinct()
     keys = materialise(sketches.join(wanted, "class", "left_semi").groupBy("class").agg(
         F.min(F.struct("d1", "d2")).alias("d")).select("d.d1", "d.d2"))
@@ -251,35 +304,96 @@ def sets_of(docs: DataFrame, sketches: DataFrame, members: DataFrame, k: int) ->
                        .dropDuplicates(["class"]))
 
 
-def cells(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(cell, class, n, shingles): regions, or what large ones are cut into."""
-    rows = members.join(sets.select("class", "n"), "class")
-    weight = rows.groupBy("region").agg(F.sum("n").alias("weight"), F.min_by("class", "n").alias("pivot"))
-    large = materialise(weight.filter(F.col("weight") > CELL))
+def cut(rows: DataFrame, by: str, shell: Column, limit: int) -> DataFrame:
+    """`rows` of (`by`, class, weight, ...) with a `cell` each; large groups cut into shells and blocks.
+
+    Classes that link lie in the same or in neighbouring shells, so each goes to its own and the next.
+    A shell of more than `limit` is cut into blocks by hash: block i meets block j in the cell of that pair.
+    """
+    rest = [c for c in rows.columns if c not in (by, "weight")]
+    large = materialise(rows.groupBy(by).agg(F.sum("weight").alias("w")).filter(F.col("w") > limit).select(by))
+    cell = lambda shell, pair: F.struct(by, shell.alias("shell"), pair.alias("pair")).alias("cell")
     if large.isEmpty():
-        return members.join(sets, "class").withColumn("cell", F.struct("region", F.lit(0).alias("shell"), F.lit(0).alias("pair")))
-    small = members.join(large, "region", "left_anti").select("region", "class")
-    pivots = large.join(sets.select(F.col("class").alias("pivot"), F.col("shingles").alias("__p")), "pivot")
-    near = F.size(F.array_intersect("shingles", "__p"))
-    gap = 1 - near / (F.col("n") + F.size("__p") - near)
-    # A little off the width keeps rounding from parting classes that are exactly r away.
-    shell = F.floor(gap / ((100 - percent) / 100 + 1e-9)).cast("int")
-    shells = (
-        members.join(pivots.select("region", "__p"), "region").join(sets, "class")
-        .select("region", "class", "n", F.explode(F.array(shell, shell + 1)).alias("shell")))
-    shells = materialise(shells)
-    blocks = shells.groupBy("region", "shell").agg(F.ceil(F.sum("n") * 2 / CELL).cast("int").alias("blocks"))
+        return rows.select(cell(F.lit(0), F.lit(0)), *rest)
+    small = rows.join(large, by, "left_anti").select(cell(F.lit(0), F.lit(0)), *rest)
+    shells = materialise(rows.join(large, by, "left_semi")
+                         .withColumn("shell", F.explode(F.array(shell, shell + 1))))
+    blocks = shells.groupBy(by, "shell").agg(F.ceil(F.sum("weight") * 2 / limit).cast("int").alias("blocks"))
     block = F.when(F.col("blocks") > 1, F.pmod(F.xxhash64("class"), "blocks").cast("int")).otherwise(0)
-    # A block meets itself and every other block once: pair (i, j) with i <= j.
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda other: (
         F.least(block, other) * F.col("blocks") + F.greatest(block, other)).cast("int"))
-    cut = shells.join(blocks, ["region", "shell"]).select(
-        F.struct("region", "shell", F.explode(pairs).alias("pair")).alias("cell"), "class")
-    whole = small.select(F.struct("region", F.lit(0).alias("shell"), F.lit(0).alias("pair")).alias("cell"), "class")
-    return cut.unionByName(whole).join(sets, "class")
+    return small.unionByName(
+        shells.join(blocks, [by, "shell"]).withColumn("pair", F.explode(pairs))
+        .select(cell(F.col("shell"), F.col("pair")), *rest))
+
+
+# -- sketches -----------------------------------------------------------------------------------
+
+def linked_sketches(n: np.ndarray, sketches: list[bytes], percent: int) -> np.ndarray:
+    """A number for each class, equal for classes that chains of near sketches connect.
+
+    From one class after another all near ones that weren't reached before are taken, so that groups of
+    copies shrink at once. Sketches of different lengths are compared at the shorter one's.
+    """
+    group, left = np.full(len(n), -1), np.argsort(n, kind="stable")
+    lengths = np.array([len(s) for s in sketches]) // 8
+    folded: dict[tuple[int, int], np.ndarray] = {}
+
+    def rows(length: int, at: int) -> np.ndarray:
+        """The sketches of `length` words, folded to `at` words."""
+        if (length, at) not in folded:
+            all_ = np.stack([np.frombuffer(sketches[i], dtype=np.uint64) for i in np.flatnonzero(lengths == length)])
+            folded[length, at] = np.bitwise_xor.reduce(all_.reshape(len(all_), length // at, at), axis=1)
+        return folded[length, at]
+
+    place = np.empty(len(n), dtype=np.int64)
+    for length in np.unique(lengths):
+        own = np.flatnonzero(lengths == length)
+        place[own] = np.arange(len(own))
+    for number, first in enumerate(left.tolist()):
+        if group[first] >= 0:
+            continue
+        group[first] = number
+        queue = [first]
+        left = left[group[left] < 0]
+        while queue:
+            i = queue.pop()
+            like = left[(100 * n[left] >= percent * n[i]) & (percent * n[left] <= 100 * n[i])]
+            for length in np.unique(lengths[like]):
+                js = like[lengths[like] == length]
+                at = int(min(length, lengths[i]))
+                apart = np.bitwise_count(rows(int(length), at)[place[js]] ^ rows(int(lengths[i]), at)[place[i]]).sum(axis=1)
+                near = js[(100 + percent) * apart.astype(np.int64) <= (100 - percent) * (n[js] + n[i])]
+                group[near] = number
+                queue += near.tolist()
+            if len(like):
+                left = left[group[left] < 0]
+    return group
+
+
+def families(members: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """(family, class): classes whose sketches are near in some region, joined over all regions."""
+    known = sketches.filter(F.col("class").isNotNull()).groupBy("class").agg(
+        F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    # The empty set as pivot: sizes of linked classes differ by a factor of 100 / percent at most.
+    shell = F.floor(F.log(F.col("n").cast("double")) / (math.log(100 / percent) + 1e-9)).cast("int")
+    rows = members.join(known, "class").withColumn("weight", F.lit(1))
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        return stars(list(rows["class"]), linked_sketches(rows["n"].to_numpy(), list(rows["sketch"]), percent))
 
+    near = components(cut(rows, "region", shell, MEMBERS).groupBy("cell").applyInPandas(run, "a binary, b binary"))
+    return materialise(near.unionByName(near.select(F.col("b").alias("a"), "b").distinct()).select(
+        F.col("b").alias("family"), F.col("a").alias("class")))
 
-# -- one cell -----------------------------------------------------------------------------------
+
+def stars(names: list[bytes], groups: np.ndarray) -> pd.DataFrame:
+    """Every name but the first of its group, with that first one."""
+    _, first, own = np.unique(groups, return_index=True, return_inverse=True)
+    return pd.DataFrame([(names[i], names[j]) for i, j in enumerate(first[own].tolist()) if i != j], columns=["a", "b"])
+
+
+# -- whole sets ---------------------------------------------------------------------------------
 
 class Cell:
     """The exact join of a cell's sets."""
@@ -292,25 +406,20 @@ class Cell:
         number = np.where(n > 1, np.cumsum(n > 1) - 1, -1)
         self.width = int((n > 1).sum())
         self.sets = [s[s >= 0] for s in np.split(number[flat], np.cumsum(self.size)[:-1])]
-        self.leader = list(range(len(sets)))
-
-    def lead(self, i: int) -> int:
-        while self.leader[i] != i:
-            self.leader[i] = self.leader[self.leader[i]]
-            i = self.leader[i]
-        return i
-
-    def linked(self, common: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return 100 * common >= self.percent * (a + b - common)
+        self.group = np.arange(len(sets))
 
     def compare(self, left: np.ndarray, right: np.ndarray) -> None:
-        """Counts all intersections of two blocks, some columns at a time."""
+        """Counts all intersections of two blocks, some columns at a time, and joins groups that link."""
         common = np.zeros((len(left), len(right)), dtype=np.float32)
         for at in range(0, self.width, COLUMNS):
             common += self.dense(left, at) @ self.dense(right, at).T
-        hit = self.linked(np.rint(common).astype(np.int64), self.size[left][:, None], self.size[right][None, :])
-        for i, j in zip(*np.nonzero(hit)):
-            self.leader[self.lead(left[i])] = self.lead(right[j])
+        common = np.rint(common).astype(np.int64)
+        both = self.size[left][:, None] + self.size[right][None, :] - common
+        for i, row in zip(left, 100 * common >= self.percent * both):
+            others = np.unique(self.group[right[row]])
+            others = others[others != self.group[i]]
+            if len(others):
+                self.group[np.isin(self.group, others)] = self.group[i]
 
     def dense(self, rows: np.ndarray, at: int) -> np.ndarray:
         out = np.zeros((len(rows), min(COLUMNS, self.width - at)), dtype=np.float32)
@@ -328,9 +437,8 @@ class Cell:
     def join(self, rows: np.ndarray) -> None:
         """Voronoi regions with windows of 2 r, or all pairs of small or indivisible ones, block by block."""
         if len(rows) > SMALL:
-            pivots = rows[:: max(1, len(rows) // 8)][:8]
-            gaps = np.stack([self.distances(rows, p) for p in pivots])
-            # As far as the windows allow: what links to a member of a region is in the region too.
+            gaps = np.stack([self.distances(rows, p) for p in rows[:: len(rows) // 8][:8]])
+            # What links to a member of a pivot's region is inside its window too.
             within = gaps <= gaps.min(axis=0) + 2 * self.reach + 1e-9
             if within.sum(axis=1).max() <= 0.8 * len(rows):
                 for inside in within:
@@ -342,15 +450,24 @@ class Cell:
 
 
 def links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """(a, b): for each cell and connected group of classes, every class with the group's leader."""
+    """(a, b): for each cell and connected group of classes, every class with the group's first."""
+    pivot = sets.select("class", "shingles").join(
+        members.groupBy("family").agg(F.min("class").alias("class"), F.count("*").alias("m")).filter(f"m > {SMALL}"),
+        "class").select("family", F.col("shingles").alias("__p"))
+    near = F.size(F.array_intersect("shingles", "__p"))
+    gap = 1 - near / (F.col("weight") + F.size("__p") - near)
+    # A little more than r, so that rounding doesn't part classes that are just r away.
+    shell = F.coalesce(F.floor(gap / ((100 - percent) / 100 + 1e-9)).cast("int"), F.lit(0))
+    rows = members.join(sets.withColumnRenamed("n", "weight"), "class").join(pivot, "family", "left").withColumn(
+        "__shell", shell).drop("__p")
+
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         cell = Cell([np.asarray(s, dtype=np.int64) for s in rows["shingles"]], percent)
         cell.join(np.arange(len(rows)))
-        names = list(rows["class"])
-        pairs = [(names[i], names[cell.lead(i)]) for i in range(len(names)) if cell.lead(i) != i]
-        return pd.DataFrame(pairs, columns=["a", "b"])
+        return stars(list(rows["class"]), cell.group)
 
-    return cells(members, sets, percent).groupBy("cell").applyInPandas(run, "a binary, b binary")
+    return (cut(rows, "family", F.col("__shell"), CELL).select("cell", "class", "shingles")
+            .groupBy("cell").applyInPandas(run, "a binary, b binary"))
 
 
 # -- components ---------------------------------------------------------------------------------
@@ -387,11 +504,11 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sketches = sketch_documents(docs, k, percent)
-    members = regions(sketches)
+    members = families(regions(sketches), sketches, percent)
     sets = sets_of(docs, sketches, members, k)
-    stars = components(links(members, sets, percent))
+    linked = components(links(members, sets, percent))
     least = sketches.filter(F.col("class").isNotNull()).groupBy("class").agg(F.min("doc_id").alias("least"))
-    named = least.join(stars.withColumnRenamed("a", "class"), "class", "left").withColumn("b", F.coalesce("b", "class"))
+    named = least.join(linked.withColumnRenamed("a", "class"), "class", "left").withColumn("b", F.coalesce("b", "class"))
     ids = named.groupBy("b").agg(F.min("least").alias("component_id"))
     of_class = named.join(ids, "b").select("class", F.col("b").alias("component"), "component_id")
     return sketches.join(of_class, "class", "left").select(
