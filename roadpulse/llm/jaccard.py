@@ -33,7 +33,7 @@ Repeated rows are copies. Component ids ignore null doc_ids; a component of noth
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from hashlib import blake2b
 
 import numpy as np
@@ -236,10 +236,11 @@ def sketch_documents(docs: DataFrame, k: int, percent: int) -> DataFrame:
         run, "doc_id long, d1 long, d2 long, n long, class binary, sketch binary, hot array<long>, rare array<long>"))
 
 
-def rare_regions(sketches: DataFrame) -> DataFrame:
-    """(pivot, class) for the rare pivots of at least two classes.
+def rare_regions(sketches: DataFrame, percent: int) -> DataFrame:
+    """(pivot, class) for the rare pivots of at least two classes whose sizes allow a link.
 
-    Rare pivots have few documents each, so a bucket of them is bounded. Pivots and classes travel packed.
+    Rare pivots have few documents each, so a bucket of them is bounded. Pivots, sizes and classes travel
+    packed. A class goes if neither the next smaller nor the next larger set of the pivot is near in size.
     """
     bits = bucket_bits(sketches.sparkSession)
 
@@ -252,31 +253,32 @@ def rare_regions(sketches: DataFrame) -> DataFrame:
     def gather(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         def arrays() -> Iterator[np.ndarray]:
             for batch in batches:
-                for name, rare in zip(batch["class"], batch["rare"]):
-                    out = np.empty((len(rare), 3), dtype=np.uint64)
+                for name, n, rare in zip(batch["class"], batch["n"], batch["rare"]):
+                    out = np.empty((len(rare), 4), dtype=np.uint64)
                     out[:, 0] = np.asarray(rare, dtype=np.int64).view(np.uint64)
-                    out[:, 1:] = np.frombuffer(name, dtype=np.uint64)
+                    out[:, 1], out[:, 2:] = n, np.frombuffer(name, dtype=np.uint64)
                     yield out
         yield from _gathered(arrays(), pack)
 
     def meet(rows: pd.DataFrame) -> pd.DataFrame:
-        pairs = np.concatenate([np.frombuffer(b, dtype=np.uint64).reshape(-1, 3) for b in rows["pairs"]])
+        pairs = np.concatenate([np.frombuffer(b, dtype=np.uint64).reshape(-1, 4) for b in rows["pairs"]])
         pairs = pairs[np.lexsort(pairs.T[::-1])]
         pairs = pairs[np.append(True, (pairs[1:] != pairs[:-1]).any(axis=1))]  # copies are one class
-        same = pairs[1:, 0] == pairs[:-1, 0]
-        shared = pairs[np.append(same, False) | np.insert(same, 0, False)]
+        sizes = pairs[:, 1].astype(np.int64)
+        near = (pairs[1:, 0] == pairs[:-1, 0]) & (100 * sizes[:-1] >= percent * sizes[1:])
+        shared = pairs[np.append(near, False) | np.insert(near, 0, False)]
         return pd.DataFrame({"pivot": shared[:, 0].astype(np.int64),
-                             "class": [row.tobytes() for row in shared[:, 1:]]})
+                             "class": [row.tobytes() for row in shared[:, 2:]]})
 
-    return (sketches.filter(F.size("rare") > 0).select("class", "rare")
+    return (sketches.filter(F.size("rare") > 0).select("class", "n", "rare")
             .mapInPandas(gather, "bucket long, pairs binary")
             .groupBy("bucket").applyInPandas(meet, "pivot long, class binary"))
 
 
-def regions(sketches: DataFrame) -> DataFrame:
+def regions(sketches: DataFrame, percent: int) -> DataFrame:
     """(region, class): all regions of at least two classes, without those that have another's members."""
     hot = sketches.select(F.explode("hot").alias("pivot"), "class").distinct()
-    members = materialise(rare_regions(sketches).unionByName(hot))
+    members = materialise(rare_regions(sketches, percent).unionByName(hot))
     digest = [F.xxhash64("class"), F.xxhash64(F.lit("second"), "class")]
     kept = (
         members.groupBy("pivot").agg(F.count("*").alias("size"), *(F.bit_xor(d).alias(f"x{i}") for i, d in enumerate(digest)))
@@ -305,17 +307,17 @@ def sets_of(docs: DataFrame, sketches: DataFrame, members: DataFrame, k: int) ->
 
 
 def cut(rows: DataFrame, by: str, shell: Column, limit: int) -> DataFrame:
-    """`rows` of (`by`, class, weight, ...) with a `cell` each; large groups cut into shells and blocks.
+    """`rows` of (`by`, class, weight, ...) with `shell` and `pair`; large groups are cut into such cells.
 
     Classes that link lie in the same or in neighbouring shells, so each goes to its own and the next.
     A shell of more than `limit` is cut into blocks by hash: block i meets block j in the cell of that pair.
     """
     rest = [c for c in rows.columns if c not in (by, "weight")]
     large = materialise(rows.groupBy(by).agg(F.sum("weight").alias("w")).filter(F.col("w") > limit).select(by))
-    cell = lambda shell, pair: F.struct(by, shell.alias("shell"), pair.alias("pair")).alias("cell")
+    whole = [by, F.lit(0).alias("shell"), F.lit(0).alias("pair"), *rest]
     if large.isEmpty():
-        return rows.select(cell(F.lit(0), F.lit(0)), *rest)
-    small = rows.join(large, by, "left_anti").select(cell(F.lit(0), F.lit(0)), *rest)
+        return rows.select(*whole)
+    small = rows.join(large, by, "left_anti").select(*whole)
     shells = materialise(rows.join(large, by, "left_semi")
                          .withColumn("shell", F.explode(F.array(shell, shell + 1))))
     blocks = shells.groupBy(by, "shell").agg(F.ceil(F.sum("weight") * 2 / limit).cast("int").alias("blocks"))
@@ -324,7 +326,43 @@ def cut(rows: DataFrame, by: str, shell: Column, limit: int) -> DataFrame:
         F.least(block, other) * F.col("blocks") + F.greatest(block, other)).cast("int"))
     return small.unionByName(
         shells.join(blocks, [by, "shell"]).withColumn("pair", F.explode(pairs))
-        .select(cell(F.col("shell"), F.col("pair")), *rest))
+        .select(by, "shell", "pair", *rest))
+
+
+def by_cell(rows: DataFrame, by: str, function: Callable[[pd.DataFrame], pd.DataFrame]) -> DataFrame:
+    """(a, b) from `function(rows of a cell)` for every cell of at least two rows.
+
+    Cells are many and most of them small, so a task reads its sorted rows in large batches and divides
+    these itself; it holds one batch and the cell that is being gathered.
+    """
+    key = [by, "shell", "pair"]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        for batch in batches:
+            rows = batch.reset_index(drop=True)
+            new = np.zeros(len(rows), dtype=bool)
+            for c in key:
+                values = rows[c].to_numpy()
+                new[1:] |= values[1:] != values[:-1]
+            starts = [0, *np.flatnonzero(new).tolist(), len(rows)]
+            out = []
+            for a, b in zip(starts, starts[1:]):
+                part = rows.iloc[a:b]
+                if held and any(held[-1][c].iloc[-1] != part[c].iloc[0] for c in key):
+                    out.append(held)
+                    held = []
+                held = [*held, part]
+            yield from solved(out)
+        yield from solved([held])
+
+    def solved(found: list[list[pd.DataFrame]]) -> Iterator[pd.DataFrame]:
+        results = [function(pd.concat(parts) if len(parts) > 1 else parts[0])
+                   for parts in found if sum(map(len, parts)) > 1]
+        if results:
+            yield pd.concat(results)
+
+    return rows.repartition(*key).sortWithinPartitions(*key).mapInPandas(run, "a binary, b binary")
 
 
 # -- sketches -----------------------------------------------------------------------------------
@@ -382,7 +420,7 @@ def families(members: DataFrame, sketches: DataFrame, percent: int) -> DataFrame
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         return stars(list(rows["class"]), linked_sketches(rows["n"].to_numpy(), list(rows["sketch"]), percent))
 
-    near = components(cut(rows, "region", shell, MEMBERS).groupBy("cell").applyInPandas(run, "a binary, b binary"))
+    near = components(by_cell(cut(rows, "region", shell, MEMBERS), "region", run))
     return materialise(near.unionByName(near.select(F.col("b").alias("a"), "b").distinct()).select(
         F.col("b").alias("family"), F.col("a").alias("class")))
 
@@ -466,8 +504,7 @@ def links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         cell.join(np.arange(len(rows)))
         return stars(list(rows["class"]), cell.group)
 
-    return (cut(rows, "family", F.col("__shell"), CELL).select("cell", "class", "shingles")
-            .groupBy("cell").applyInPandas(run, "a binary, b binary"))
+    return by_cell(cut(rows, "family", F.col("__shell"), CELL).drop("__shell"), "family", run)
 
 
 # -- components ---------------------------------------------------------------------------------
@@ -504,7 +541,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sketches = sketch_documents(docs, k, percent)
-    members = families(regions(sketches), sketches, percent)
+    members = families(regions(sketches, percent), sketches, percent)
     sets = sets_of(docs, sketches, members, k)
     linked = components(links(members, sets, percent))
     least = sketches.filter(F.col("class").isNotNull()).groupBy("class").agg(F.min("doc_id").alias("least"))
