@@ -23,6 +23,8 @@ MIN_CHARS = 20
 #: Sketches have 2^12 registers, so the standard error of an estimate is about 1.6 %. Estimates within
 #: eight of these errors of the threshold, and at least one site either way, are counted again.
 REGISTERS, ERROR, ERRORS = 12, 0.0163, 8
+#: The places of lines that go are broadcast while there are at most so many (about 50 MB); else documents shuffle.
+BROADCAST_PLACES = 1_000_000
 _LINE = ["h1", "h2"]
 _DOC = ["__d1", "__d2"]
 
@@ -81,7 +83,9 @@ def remove_boilerplate(docs: DataFrame, site: str = "source", sites: int = SITES
     docs = docs.drop("n_removed")
     kept = F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains("__gone", i))
     cut = F.col("__gone").isNotNull()
-    joined = with_keys(docs).join(removals(docs, site, sites), _DOC, "left")
+    gone = materialise(removals(docs, site, sites))
+    places = gone.agg(F.sum(F.size("__gone"))).first()[0] or 0
+    joined = with_keys(docs).join(F.broadcast(gone) if places <= BROADCAST_PLACES else gone, _DOC, "left")
     return (
         joined.withColumn("text", F.when(cut, F.array_join(kept, "\n")).otherwise(F.col("text")))
         .filter(~cut | (F.trim(F.translate("text", "\n", " ")) != ""))
