@@ -48,12 +48,12 @@ from roadpulse.session import materialise
 #: A shingle of at least so many documents is frequent, and at most so many are listed.
 HOT_COUNT, HOT_SHINGLES = 32, 1 << 20
 #: Shingles that a task gathers before it passes them on, and those of one cell.
-GATHER, CELL = 1 << 21, 1 << 22
+GATHER, CELL = 1 << 19, 1 << 22
 #: Classes whose sketches one cell compares.
 MEMBERS = 1 << 13
 #: Classes that are compared by a matrix product rather than divided again, and its columns at a time.
 SMALL, COLUMNS = 256, 1 << 14
-#: Keys of candidate documents are broadcast while there are at most so many (about 50 MB).
+#: Keys of documents are broadcast while there are at most so many (about 50 MB); else both sides shuffle.
 BROADCAST_KEYS = 1 << 20
 
 
@@ -556,15 +556,21 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
 def drop_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame:
     """One document of each component, that with the least doc_id (then the least key), as it came.
 
-    Rows without words stay. Of rows equal in doc_id and text all are one document: one stays.
+    Documents without words stay. Rows equal in doc_id and text are one document: one row of them stays.
     """
-    found = near_duplicates(docs, k, percent)
+    found = near_duplicates(docs, k, percent).filter(F.col("component").isNotNull())
+    key = ["__d1", "__d2"]
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "d1", "d2")
-    kept = materialise(
-        found.filter(F.col("component").isNotNull()).groupBy("component").agg(F.min(order).alias("k"))
-        .select(F.col("k.d1").alias("__d1"), F.col("k.d2").alias("__d2")))
+    named = materialise(found.select("component", F.col("d1").alias("__d1"), F.col("d2").alias("__d2"), order.alias("k")))
+    # Only components and documents of several rows have anything to drop.
+    several = named.groupBy("component").agg(F.min("k").alias("first"), F.count("*").alias("m")).filter("m > 1")
+    rows = materialise(named.join(several.select("component", "first"), "component"))
+    gone = materialise(rows.filter(F.col("k") != F.col("first")).select(*key).distinct())
+    again = materialise(rows.filter(F.col("k") == F.col("first")).groupBy(*key).count().filter("count > 1").select(*key))
     d1, d2 = key_of(F.col("doc_id").cast("long"), F.col("text"))
-    keyed = docs.withColumns({"__d1": d1, "__d2": d2})
-    empty = F.trim(F.translate(F.coalesce("text", F.lit("")), "\t\n\x0b\x0c\r", "     ")) == ""
-    one = keyed.filter(~empty).join(kept, ["__d1", "__d2"], "left_semi").dropDuplicates(["__d1", "__d2"])
-    return one.unionByName(keyed.filter(empty)).select(*docs.columns)
+    small = lambda keys: F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
+    kept = docs.withColumns({"__d1": d1, "__d2": d2}).join(small(gone), key, "left_anti")
+    if not again.isEmpty():
+        kept = kept.join(small(again), key, "left_anti").unionByName(
+            kept.join(small(again), key, "left_semi").dropDuplicates(key))
+    return kept.select(*docs.columns)
