@@ -24,7 +24,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from roadpulse.llm.text import map_rows, text_of
+from roadpulse.llm.text import map_rows, small_batches, text_of
 
 # Common function words of each language.
 COMMON_WORDS = {
@@ -139,7 +139,7 @@ def references(docs: DataFrame) -> dict[str, tuple[np.ndarray, np.ndarray]]:
         for lang, counts in sums.items():
             yield pd.DataFrame({"lang": lang, "place": range(len(counts)), "n": counts})
 
-    rows = docs.select("text", "lang").mapInPandas(run, "lang string, place int, n long")
+    rows = small_batches(docs).select("text", "lang").mapInPandas(run, "lang string, place int, n long")
     out = {lang: np.zeros(CLASSES + _PLACES, dtype=np.int64) for lang in [*COMMON_WORDS, OTHER]}
     for row in rows.groupBy("lang", "place").agg(F.sum("n").alias("n")).collect():
         out[row["lang"]][row["place"]] = row["n"]

@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from roadpulse.llm.boilerplate import key_of
-from roadpulse.llm.text import text_of
+from roadpulse.llm.text import small_batches, text_of
 from roadpulse.session import materialise
 
 #: A shingle of at least so many documents is frequent, and at most so many are listed.
@@ -539,7 +539,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> DataFrame
 
     Two documents link if 100 * the size of their sets' intersection >= `percent` * that of the union.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = small_batches(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sketches = sketch_documents(docs, k, percent)
     members = families(regions(sketches, percent), sketches, percent)
     sets = sets_of(docs, sketches, members, k)

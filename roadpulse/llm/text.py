@@ -10,12 +10,26 @@ from pyspark.sql import DataFrame, types as T
 # ASCII letters only: the contracts leave all other letters as they are.
 ASCII_LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(ord("A"), ord("Z") + 1)})
 
+BATCH_ROWS = 1000
+
 
 def text_of(value: object) -> str:
     """A null text (None, or NaN as pandas may have it) counts as empty."""
     return value if isinstance(value, str) else ""
 
 
+def small_batches(docs: DataFrame) -> DataFrame:
+    """`docs`, in a session whose Arrow batches hold `BATCH_ROWS` rows at most.
+
+    Spark counts the rows of a batch, not their bytes: at its default of 10,000 a batch of long texts, with
+    what Python makes of them, would be the largest thing in an executor's memory.
+    """
+    conf, key = docs.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(conf.get(key)) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
+    return docs
+
+
 def map_rows(
     docs: DataFrame, columns: list[str], inputs: list[str], fields: str, function: Callable[..., tuple]
 ) -> DataFrame:
@@ -34,4 +48,4 @@ def map_rows(
             yield pd.concat([batch[columns], out], axis=1)
 
     schema = T.StructType([docs.schema[c] for c in columns] + added)
-    return docs.select(*dict.fromkeys([*columns, *inputs])).mapInPandas(run, schema)
+    return small_batches(docs).select(*dict.fromkeys([*columns, *inputs])).mapInPandas(run, schema)
