@@ -35,18 +35,22 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), _EDGE), "")
 
 
+def hashes_of(text: Column) -> Column:
+    """A 64-bit hash for each word; words are compared by these."""
+    return F.transform(words_of(text), lambda w: F.xxhash64(w))
+
+
 def seeds_of(rows: DataFrame, keep: list[str]) -> DataFrame:
-    """`keep`, the place and the hash of every seed; `rows` has the array `words`.
+    """`keep`, the place and the hash of every seed; `rows` has the array `hashes` of its words.
 
     Shifted copies of the array, zipped, put the words of a window side by side, so that hashing them
     is plain column work on exploded rows. The mask's number is part of the hash.
     """
-    windows = F.size("words") - SPAN + 1
+    windows = F.size("hashes") - SPAN + 1
     used = [i for i in range(SPAN) if any(m[i] == "1" for m in MASKS)]
-    hashed = F.transform("words", lambda w: F.xxhash64(w))
-    shifted = F.arrays_zip(*(F.slice("__hashes", i + 1, windows).alias(f"w{i}") for i in used))
+    shifted = F.arrays_zip(*(F.slice("hashes", i + 1, windows).alias(f"w{i}") for i in used))
     return (
-        rows.filter(windows > 0).withColumn("__hashes", hashed)
+        rows.filter(windows > 0)
         .select(*keep, F.posexplode(shifted).alias("place", "w"))
         .select(*keep, "place", F.explode(F.array(*(
             F.xxhash64(F.lit(n), *(F.col(f"w.w{i}") for i in range(SPAN) if mask[i] == "1"))
@@ -59,25 +63,27 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     These are the equal words of the best stretch, and its length.
     """
     items = materialise(
-        benchmark.select("item_id", words_of(F.col("text")).alias("words")).filter(F.size("words") >= SPAN)
-        .groupBy("words").agg(F.min("item_id").alias("item_id")))
+        benchmark.select("item_id", hashes_of(F.col("text")).alias("hashes")).filter(F.size("hashes") >= SPAN)
+        .groupBy("hashes").agg(F.min("item_id").alias("item_id")))
     theirs = materialise(seeds_of(items, ["item_id"]).select("seed", "item_id", F.col("place").alias("item_place")))
     small = theirs.count() <= BROADCAST_SEEDS
     d1, d2 = key_of(F.col("doc_id"), F.col("text"))
-    ours = docs.select(d1.alias("__d1"), d2.alias("__d2"), "doc_id", words_of(F.col("text")).alias("words"))
+    ours = docs.select(d1.alias("__d1"), d2.alias("__d2"), "doc_id", hashes_of(F.col("text")).alias("hashes"))
     key = ["__d1", "__d2", "doc_id"]
-    if small:  # the words come along by reference, and only rows that meet a seed are ever written out
-        hits = seeds_of(ours, [*key, "words"]).join(F.broadcast(theirs), "seed")
+    if small:  # a document's hashes come along by reference, and only the stretch around a hit is written out
+        hits = seeds_of(ours, [*key, "hashes"]).join(F.broadcast(theirs), "seed")
     else:
         hits = (seeds_of(ours, key).join(theirs, "seed").drop("seed", "doc_id").distinct()
                 .join(ours, ["__d1", "__d2"]))
-    items = items.select("item_id", F.col("words").alias("__item"))
+    left = F.greatest(F.lit(0), F.col("place") - STRETCH)
+    hits = hits.select(*key, "item_id", "item_place", "place", F.slice("hashes", left + 1, 2 * STRETCH).alias("around"))
+    items = items.select("item_id", F.col("hashes").alias("__item"))
     stretch = F.least(F.size("__item"), F.lit(STRETCH))
     margin = (STRETCH - SPAN) // 2
     begin = F.greatest(F.lit(0), F.least(F.col("item_place") - margin, F.size("__item") - stretch))
     opposite = F.col("place") - F.col("item_place") + begin
     lost = F.greatest(F.lit(0), -opposite)     # words of the stretch that lie before the document
-    here = F.slice("words", opposite + lost + 1, stretch - lost)
+    here = F.slice("around", opposite + lost - left + 1, stretch - lost)
     there = F.slice("__item", begin + lost + 1, stretch - lost)
     same = F.size(F.filter(F.zip_with(here, there, lambda a, b: a.eqNullSafe(b)), lambda x: x))
     return (

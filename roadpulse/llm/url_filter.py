@@ -130,13 +130,14 @@ def judge_by_join(pages: DataFrame, rules: list[tuple[str, str]], default: str)
     best = (
         urls.withColumn("__host", F.explode(suffixes)).join(table, "__host")
         .filter(F.startswith("path", "__prefix"))
-        .groupBy("url").agg(F.max_by(F.struct("__rule", "__verdict"), rank).alias("__best"))
+        .groupBy(F.col("url").alias("__fit")).agg(F.max_by(F.struct("__rule", "__verdict"), rank).alias("__best"))
     )
-    found = urls.join(best, urls["url"].eqNullSafe(best["url"]), "left").select(
-        urls["url"].alias("__url"), F.struct(
+    # A null URL fits no rule, so plain equality does; it comes back to its pages by null-safe equality.
+    found = urls.join(best, F.col("url") == F.col("__fit"), "left").select(
+        F.col("url").alias("__url"), F.struct(
             "host", "path", F.col("__best.__rule").alias("rule"),
             F.coalesce("__best.__verdict", F.lit(default)).alias("verdict")).alias("__judged"))
-    return pages.join(found, pages["url"].eqNullSafe(found["__url"]), "left").drop("__url")
+    return pages.join(found, F.col("url").eqNullSafe(F.col("__url")), "left").drop("__url")
 
 
 def judge_urls(pages: DataFrame, rules: list[tuple[str, str]], default: str = "allow") -> DataFrame:
