@@ -52,6 +52,10 @@ def is_run_name(col: Column) -> Column:
     return F.coalesce(col.rlike(RUN_NAME), F.lit(False))
 
 
+def base_name(path: Column) -> Column:
+    return F.element_at(F.split(path, "/"), -1)
+
+
 def file_stem(path: Column) -> Column:
     """Lower-cased base name without its last extension."""
     return F.lower(F.regexp_extract(path, r"([^/]*?)(\.[^./]*)?$", 1))

@@ -58,9 +58,10 @@ def lookup_tagged(requests: DataFrame, keys: DataFrame) -> DataFrame:
 def request_summary(log: DataFrame, groups: tuple[str, ...] = ()) -> DataFrame:
     """Totals, hit rate and latencies of a request log (`resultado`, `tiempo_ms`, `segundo`).
 
-    Latencies are logged with two decimals, so they are summed exactly as decimals.
+    Latencies are summed as decimals, so the sum does not depend on the order of the rows. With
+    18 decimals a latency of 0.1 ms or more keeps all digits that it has as a double.
     """
-    outcome, ms = F.col("resultado"), F.col("tiempo_ms").cast("decimal(18,2)")
+    outcome, ms = F.col("resultado"), F.col("tiempo_ms").cast("decimal(38,18)")
 
     def spent(kind: str) -> Column:
         return F.coalesce(F.sum(F.when(outcome == kind, ms)), F.lit(0)).cast("double")

@@ -13,18 +13,20 @@ from functools import partial
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from roadpulse.operators.documents import as_index_rows, result_documents, united
-from roadpulse.operators.numbering import number_rows
+from roadpulse.operators.lookup import request_summary
 from roadpulse.operators.quality import clean_alerts, clean_jams
 from roadpulse.operators.rollups import alert_cube, result_tables
 from roadpulse.operators.staging import stage_alerts, stage_jams
-from roadpulse.session import materialise
-from roadpulse.sinks.keyed import insert_if_absent, read_inserted, write_documents
-from roadpulse.sinks.writers import counted, write_metrics, write_run
+from roadpulse.session import drop_table, materialise
+from roadpulse.sinks.keyed import BATCH, insert_if_absent, next_batch, read_inserted, write_batch, write_documents
+from roadpulse.sinks.writers import counted, write_csv, write_json, write_metrics, write_run
 from roadpulse.sources.feeds import (
     good_documents, quarantined_documents, read_feed, unnest_alerts, unnest_jams,
 )
 from roadpulse.sources.tables import read_latest
 
+FIRST_WRITE = ("file", "cell", "pos")       # order in which objects came in
+
 # The order each result table is numbered in when it becomes documents.
 RESULT_ORDER = {
     "horas_pico": [("cantidad_alertas", False), ("hora", True)],
@@ -43,24 +45,36 @@ def result_order(name: str) -> list:
     return [F.col(c).asc() if up else F.col(c).desc() for c, up in RESULT_ORDER[name]]
 
 
-def ingest(spark: SparkSession, feed: str, store: str, batch: int) -> DataFrame:
+def ingest(spark: SparkSession, feed: str, store: str, retry_of: int | None = None) -> DataFrame:
     """Add unseen alerts and jams of the feed files to the store; returns the unusable files.
 
     The JSON is parsed once: alerts, jams and the quarantine all read the written documents.
+    Each call adds a batch. `retry_of` replaces one, for the same feed; running a feed that failed
+    half way once more needs no such number, as what is stored already is not added again.
     """
+    paths = [f"{store}/{name}" for name in ("alertas", "atascos", "cuarentena")]
+    batch = next_batch(spark, *paths) if retry_of is None else retry_of
     documents = materialise(read_feed(spark, feed))
     good = good_documents(documents)
-    order = ["file", "cell", "pos"]
-    insert_if_absent(unnest_alerts(good), f"{store}/alertas", ["uuid"], order, batch)
-    insert_if_absent(unnest_jams(good), f"{store}/atascos", ["uuid"], order, batch)
-    return quarantined_documents(documents)
+    insert_if_absent(unnest_alerts(good), paths[0], ["uuid"], list(FIRST_WRITE), batch)
+    insert_if_absent(unnest_jams(good), paths[1], ["uuid"], list(FIRST_WRITE), batch)
+    write_batch(quarantined_documents(documents), paths[2], batch)
+    drop_table(documents)
+    return spark.read.parquet(f"{paths[2]}/{BATCH}={batch}")
+
 
+def with_position(documents: DataFrame) -> DataFrame:
+    """Add `position`, the place in the ingest order, to the one document that lacks its key.
 
-def _with_position(documents: DataFrame) -> tuple[DataFrame, str | None]:
-    """Number the documents only if one lacks its key: nothing else needs the position."""
-    if documents.filter(F.col("uuid").isNull()).isEmpty():
-        return documents, None
-    return number_rows(documents, ["file", "cell", "pos"], "position"), "position"
+    The store holds at most one such document, as a missing key is a key like others; nothing
+    else needs its position. Counting the rows before it reads three columns and sorts none.
+    """
+    place = F.struct(*FIRST_WRITE)
+    lone = documents.filter(F.col("uuid").isNull()).select(place.alias("place")).first()
+    if lone is None:
+        return documents.withColumn("position", F.lit(None).cast("long"))
+    at = F.struct(*[F.lit(lone.place[c]).cast(documents.schema[c].dataType).alias(c) for c in FIRST_WRITE])
+    return documents.withColumn("position", F.lit(documents.filter(place < at).count()))
 
 
 def _side_by_side(actions: list[Callable[[], None]]) -> None:
@@ -77,11 +91,11 @@ def clean(spark: SparkSession, store: str, out: str, run: str) -> None:
 
     def clean_kind(kind: str) -> None:
         stage, keep = kinds[kind]
-        staged = stage(*_with_position(read_inserted(spark, f"{store}/{kind}")))
+        staged = stage(with_position(read_inserted(spark, f"{store}/{kind}")), "position", FIRST_WRITE)
         write_run(staged, f"{out}/{kind}_preparadas", run)
         prepared = spark.read.parquet(f"{out}/{kind}_preparadas/run_id={run}")
         prepared, seen[f"{kind}_total"] = counted(prepared, f"{kind}_total")
-        kept, seen[f"{kind}_limpias"] = counted(keep(prepared), f"{kind}_limpias")
+        kept, seen[f"{kind}_limpias"] = counted(keep(prepared, FIRST_WRITE), f"{kind}_limpias")
         write_run(kept, f"{out}/{kind}_limpias", run)
 
     _side_by_side([partial(clean_kind, kind) for kind in kinds])
@@ -100,8 +114,23 @@ def rank(spark: SparkSession, cleaned: str, out: str, run: str) -> dict[str, Dat
     return {name: spark.read.parquet(f"{out}/{name}/run_id={run}") for name in results}
 
 
-def index_results(results: dict[str, DataFrame], store: str, processed_at: str, batch: int) -> None:
-    """Result rows as documents with lineage into the index store."""
+def export_results(results: dict[str, DataFrame], out: str, run: str) -> None:
+    """Each result table as a folder of CSV files with its header, in its ranking's order."""
+    _side_by_side([partial(write_csv, df.orderBy(*result_order(name)), f"{out}/{name}/{run}")
+                   for name, df in results.items()])
+
+
+def summarise_requests(log: DataFrame, keys: DataFrame, out: str, run: str) -> None:
+    """The summary of a request log, whole and by tag, and the list of known keys, as JSON."""
+    whole = request_summary(log.withColumn("tipo", F.lit("todos")), ("tipo",))
+    write_json(whole.unionByName(request_summary(log, ("tipo",))), f"{out}/resumen/{run}")
+    write_json(keys, f"{out}/claves/{run}")
+
+
+def index_results(
+    results: dict[str, DataFrame], store: str, processed_at: str, retry_of: int | None = None,
+) -> None:
+    """Result rows as documents with lineage into the index store, as a new batch or for one of old."""
     documents = [as_index_rows(result_documents(name, df, result_order(name), processed_at))
                  for name, df in results.items()]
-    write_documents(united(documents), store, batch)
+    write_documents(united(documents), store, retry_of)

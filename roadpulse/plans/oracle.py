@@ -132,7 +132,7 @@ cte("requests", """
 
 cte("feed_rows", """
   SELECT printf('feed_%09d.json', event_id // 64) AS file, event_id // 64 AS n,
-         CAST((event_id % 64) // 8 AS INTEGER) AS cell, event_id, is_alert, event_type, k, fecha,
+         CAST((event_id % 64) // 8 AS INTEGER) AS cell, event_id, is_alert, event_type, k, value, fecha,
          CASE WHEN is_alert THEN 'alerta' ELSE 'atasco' END AS kind,
          CAST(user_id AS VARCHAR) AS uuid
   FROM ev""", "ev")
@@ -190,7 +190,15 @@ sql("latest_run", r"""
 SELECT run_id, event_id, event_type, fecha FROM runs
 WHERE run_id = (SELECT max(run_id) FROM runs WHERE regexp_full_match(run_id, 'ejecucion_\d{8}_\d{6}'))""", "runs")
 
-sql("uuid_list", "SELECT uuid FROM alert_docs WHERE uuid IS NOT NULL AND uuid <> ''", "alert_docs")
+sql("feed_lenient", r"""
+SELECT file, cell, kind, fecha, uuid,
+       CASE WHEN is_alert AND NOT regexp_matches(CAST(value AS VARCHAR), '[05]$') THEN value
+            WHEN NOT is_alert AND k % 2 = 0 THEN CAST(k AS DOUBLE) END AS number
+FROM feed_rows""", "feed_rows")
+
+sql("uuid_list", """
+SELECT 'alerta' AS tipo, uuid FROM alert_docs WHERE uuid IS NOT NULL AND uuid <> ''
+UNION ALL SELECT 'atasco', uuid FROM staged_jams WHERE uuid <> '0'""", "alert_docs staged_jams")
 
 # -- projections and filters ----------------------------------------------------------------
 
@@ -223,9 +231,6 @@ WHERE location_x >= -70.8::DOUBLE AND location_x <= -70.5::DOUBLE
   AND location_y >= -33.5::DOUBLE AND location_y <= -33.3::DOUBLE""", "alerts")
 sql("digit_guard", r"""
 SELECT seq, CAST(uuid AS BIGINT) AS clave FROM requests WHERE regexp_full_match(uuid, '[0-9]+')""", "requests")
-sql("doc_json", """
-SELECT seq, CAST(to_json({'uuid': uuid, 'city': city, 'type': type, 'street': street, 'fecha': fecha}) AS VARCHAR) AS doc
-FROM staged_alerts""", "staged_alerts")
 
 # -- first per key, funnel, duplicate reports -----------------------------------------------
 
@@ -264,12 +269,16 @@ sql("dup_file_summary", "SELECT * FROM file_summary", "file_summary")
 sql("dup_global_summary", """
 SELECT count(*) AS files, count(*) FILTER (duplicated > 0) AS files_with_duplicates,
        CAST(sum(duplicated) AS BIGINT) AS duplicated FROM file_summary""", "file_summary")
-sql("flat_kind_merge", """
+cte("flat_keys_by_file", """
 SELECT file, uuid, count(*) AS n, count(*) FILTER (kind = 'alerta') AS alerts,
        count(*) FILTER (kind = 'atasco') AS jams,
        CASE WHEN bool_or(kind <> 'desconocido' AND kind <> first_kind) THEN 'mixto' ELSE min(first_kind) END AS kind
 FROM (SELECT *, first_value(kind) OVER (PARTITION BY file, uuid ORDER BY pos) AS first_kind FROM flat_rows)
 GROUP BY file, uuid""", "flat_rows")
+sql("flat_kind_merge", "SELECT * FROM flat_keys_by_file", "flat_keys_by_file")
+sql("dup_mixed_shapes", """
+SELECT * FROM flat_keys_by_file UNION ALL SELECT file, uuid, n, alerts, jams, kind FROM keys_by_file""",
+    "flat_keys_by_file keys_by_file")
 sql("repeated_keys", "SELECT uuid, count(*) AS n FROM feed_rows GROUP BY uuid HAVING count(*) > 1", "feed_rows")
 sql("repeated_alerts", """
 SELECT uuid, count(*) AS n FROM reports WHERE uuid IS NOT NULL GROUP BY uuid HAVING count(*) > 1""", "reports")
@@ -339,20 +348,42 @@ sql("keyed_upsert", """
 SELECT uuid, type, street, fecha, seq
 FROM (SELECT *, row_number() OVER (PARTITION BY uuid ORDER BY load DESC, seq DESC) AS rn FROM loads) WHERE rn = 1""",
     "loads")
-sql("collection_documents", """
-SELECT 'alertas' AS _index, CAST(seq AS VARCHAR) AS _id,
-       CAST(to_json({'uuid': uuid, 'city': city, 'type': type, 'street': street, 'fecha': fecha}) AS VARCHAR) AS _source
-FROM staged_alerts""", "staged_alerts")
-sql("result_documents", f"""
-SELECT 'analisis_comunas_con_mas_alertas' AS _index, 'comunas_con_mas_alertas_' || CAST(rn - 1 AS VARCHAR) AS _id,
-       CAST(to_json({{'comuna': comuna, 'cantidad_alertas': cantidad_alertas, 'archivo_origen': 'comunas_con_mas_alertas',
-            'fecha_procesamiento': '2024-01-31T00:00:00', 'fila_numero': rn}}) AS VARCHAR) AS _source
-FROM (SELECT *, row_number() OVER (ORDER BY cantidad_alertas DESC, comuna) AS rn FROM ({CITIES}))
-UNION ALL
-SELECT 'analisis_atascos_largos', 'atascos_largos_' || CAST(rn - 1 AS VARCHAR),
-       CAST(to_json({{'uuid': uuid, 'length': length, 'city': city, 'archivo_origen': 'atascos_largos',
-            'fecha_procesamiento': '2024-01-31T00:00:00', 'fila_numero': rn}}) AS VARCHAR)
-FROM (SELECT *, row_number() OVER (ORDER BY length DESC, uuid) AS rn FROM jams)""", "alerts jams")
+JAM_FIELDS = "severity country length endnode roadtype speed street fecha region city".split()
+ALERT_FIELDS = "uuid city municipalityUser type street confidence location_x location_y fecha".split()
+
+
+def json_of(fields: list[str], more: str = "") -> str:
+    named = ", ".join(f"'{f}': \"{f}\"" for f in fields)
+    return f"CAST(to_json({{{named}{more}}}) AS VARCHAR)"
+
+
+sql("collection_documents", f"""
+SELECT 'atascos' AS _index, uuid AS _id, {json_of(JAM_FIELDS)} AS _source FROM staged_jams""", "staged_jams")
+sql("doc_json", f"SELECT seq, {json_of(ALERT_FIELDS)} AS doc FROM staged_alerts", "staged_alerts")
+
+RESULTS = {     # name: (rows, order, columns)
+    "horas_pico": (HOURS, "cantidad_alertas DESC, hora", ["hora", "cantidad_alertas"]),
+    "comunas_con_mas_alertas": (CITIES, "cantidad_alertas DESC, comuna", ["comuna", "cantidad_alertas"]),
+    "tipos_alerta_frecuencia": (TYPES, "cantidad DESC, tipo_alerta", ["tipo_alerta", "cantidad"]),
+    "alertas_tipo_false": ("SELECT * FROM staged_alerts WHERE type = 'false'", "uuid, fecha", ALERT_FIELDS),
+    "comunas_con_mas_accidentes": (CITY_ACCIDENTS, "cantidad_accidentes DESC, comuna", ["comuna", "cantidad_accidentes"]),
+    "calles_con_mas_alertas": (STREETS, "cantidad_alertas DESC, calle", ["calle", "cantidad_alertas"]),
+    "calles_con_mas_accidentes": (STREET_ACCIDENTS, "cantidad_accidentes DESC, calle, ciudad",
+                                  ["calle", "ciudad", "cantidad_accidentes"]),
+    "atascos_largos": ("SELECT * FROM jams", "length DESC, uuid", ["uuid", *JAM_FIELDS]),
+    "atascos_por_ciudad": (CITY_JAMS, "largo_total DESC, ciudad", ["ciudad", "largo_total", "num_atascos"]),
+}
+
+
+def documents_of(name: str) -> str:
+    rows, order, columns = RESULTS[name]
+    lineage = f", 'archivo_origen': '{name}', 'fecha_procesamiento': '2024-01-31T00:00:00', 'fila_numero': rn"
+    return f"""
+SELECT 'analisis_{name}' AS _index, '{name}_' || CAST(rn - 1 AS VARCHAR) AS _id, {json_of(columns, lineage)} AS _source
+FROM (SELECT *, row_number() OVER (ORDER BY {order}) AS rn FROM ({rows}))"""
+
+
+sql("result_documents", " UNION ALL ".join(documents_of(name) for name in RESULTS), "alerts jams staged_alerts")
 sql("index_counts", f"""
 SELECT 'analisis_horas_pico' AS _index, (SELECT count(*) FROM ({HOURS})) AS documents
 UNION ALL SELECT 'analisis_comunas_con_mas_alertas', (SELECT count(*) FROM ({CITIES}))

@@ -53,7 +53,21 @@ def feed_quarantine(spark, sf):
             .when(F.col("n") % 7 == 0, F.lit('{"otros": []}')).otherwise(F.col("text")))
     parsed = feeds.parse_feed(b.feed_texts(spark, sf).withColumn("text", text))
     good = feeds.good_documents(parsed).select("file", F.lit("ok").alias("reason"))
-    return good.unionByName(feeds.quarantined_documents(parsed))
+    return good.unionByName(feeds.quarantined_documents(parsed).select("file", "reason"))
+
+
+@query
+def feed_lenient(spark, sf):
+    """Alerts whose last digit is 0 or 5 get a word for a number, odd jams a fraction: all objects stay."""
+    text = F.regexp_replace("text", r'"confidence":(\d+\.\d*)([05])(?=,)', '"confidence":"$1$2 high"')
+    text = F.regexp_replace(text, r'"length":(\d*[13579])(?=,)', '"length":$1.5')
+    documents = feeds.good_documents(feeds.parse_feed(b.feed_texts(spark, sf).withColumn("text", text)))
+    alerts = feeds.unnest_alerts(documents).select("file", "cell", F.lit(KIND_ALERT).alias("kind"), "fecha", "uuid",
+                                                   F.col("confidence").alias("number"))
+    jams = feeds.unnest_jams(documents).select("file", "cell", F.lit(KIND_JAM).alias("kind"), "fecha",
+                                               F.col("uuid").cast("string").alias("uuid"),
+                                               F.col("length").cast("double").alias("number"))
+    return alerts.unionByName(jams)
 
 
 @query
@@ -93,7 +107,8 @@ def latest_run(spark, sf):
 
 @query
 def uuid_list(spark, sf):
-    return lookup.key_list(b.alert_documents(spark, sf))
+    """The key lists of both collections, each by its own rule."""
+    return lookup.tagged_keys(b.alert_documents(spark, sf), b.jam_documents(spark, sf))
 
 
 # -- projections and filters ----------------------------------------------------------------
@@ -196,7 +211,7 @@ def digit_guard(spark, sf):
 @query
 def doc_json(spark, sf):
     rows = b.staged_alerts(spark, sf)
-    return rows.select("seq", document_json("uuid", "city", "type", "street", "fecha").alias("doc"))
+    return rows.select("seq", document_json(*ALERT_COLUMNS).alias("doc"))
 
 
 # -- first per key, funnel, duplicate reports -----------------------------------------------
@@ -255,6 +270,13 @@ def flat_kind_merge(spark, sf):
     return dup.flat_keys_by_file(_flat_items(spark, sf))
 
 
+@query
+def dup_mixed_shapes(spark, sf):
+    """The duplicate report over nested and flat files read together, in one pass."""
+    texts = b.feed_texts(spark, sf).select("file", "text").unionByName(b.flat_texts(spark, sf))
+    return dup.flat_keys_by_file(feeds.mixed_items(feeds.parse_documents(texts)))
+
+
 @query
 def repeated_keys(spark, sf):
     return dup.repeated_keys(_items(spark, sf))
@@ -404,8 +426,8 @@ def keyed_upsert(spark, sf):
 
 @query
 def collection_documents(spark, sf):
-    rows = b.staged_alerts(spark, sf).select(F.col("seq").alias("_id"), "uuid", "city", "type", "street", "fecha")
-    return docs.collection_documents(rows, "alertas")
+    """The whole stored jams under their own keys."""
+    return docs.collection_documents(b.staged_jams(spark, sf), "atascos", "uuid")
 
 
 def _results(spark, sf):
@@ -417,13 +439,10 @@ def _results(spark, sf):
 
 @query
 def result_documents(spark, sf):
-    """A small ranking and the row-level jam table as documents in the common form."""
-    ranking = rollups.alerts_by_city(b.alerts(spark, sf))
-    longest = rollups.longest_jams(materialise(b.jams(spark, sf)))
-    named = {"comunas_con_mas_alertas": ranking, "atascos_largos": longest.select("uuid", "length", "city")}
+    """All nine result tables as documents in the common form."""
     return docs.united([
         docs.as_index_rows(docs.result_documents(name, df, result_order(name), PROCESSED_AT))
-        for name, df in named.items()])
+        for name, df in _results(spark, sf).items()])
 
 
 @query

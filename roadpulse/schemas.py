@@ -22,14 +22,12 @@ JAM_DOCUMENT = struct(
     uuid=_L, severity=_I, country=_S, length=_I, endNode=_S, roadType=_I, speedKMH=_D,
     speed=_D, street=_S, fecha=_S, region=_S, city=_S,
 )
-FEED = struct(
-    celdas=T.ArrayType(struct(
-        data=struct(alerts=T.ArrayType(ALERT_DOCUMENT), jams=T.ArrayType(JAM_DOCUMENT)),
-    )),
-)
-# One element of a flat feed: only the fields that tell the kinds apart.
+# Cells and objects are taken as JSON text first, so that a misshapen one spoils no other.
+FEED = struct(celdas=T.ArrayType(_S))
+CELL = struct(data=struct(alerts=T.ArrayType(_S), jams=T.ArrayType(_S)))
+# One element of a flat feed: only the fields that tell the kinds apart, as text.
 FLAT_OBJECT = struct(
-    uuid=_S, type=_S, subtype=_S, reportRating=_I, roadType=_I, street=_S, city=_S, fecha=_S,
+    uuid=_S, type=_S, subtype=_S, reportRating=_S, roadType=_S, street=_S, city=_S, fecha=_S,
 )
 
 # -- staged tables --------------------------------------------------------------------------

@@ -6,7 +6,6 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
-SINGLE_FILE_ROWS = 1_000_000
 _CSV = {"header": True, "quote": '"', "escape": '"', "emptyValue": ""}
 
 
@@ -23,20 +22,16 @@ def write_run(df: DataFrame, path: str, run: str) -> None:
     df.write.mode("overwrite").parquet(f"{path}/run_id={run}")
 
 
-def write_csv(df: DataFrame, path: str, *, header: bool = True, single_file: bool = False) -> None:
-    """Minimal-quoting CSV; many files, in order, unless `single_file`.
+def write_csv(df: DataFrame, path: str, *, header: bool = True) -> None:
+    """A folder of minimal-quoting CSV files, whose names follow the order of the rows.
 
-    A single file is one task, so it is refused above SINGLE_FILE_ROWS rows: it is meant for
-    rankings and top-k reports.
+    An empty table still leaves a file with the header. A top-k table comes as one file.
     """
-    if single_file:
-        if not df.limit(SINGLE_FILE_ROWS + 1).count() <= SINGLE_FILE_ROWS:
-            raise ValueError(f"more than {SINGLE_FILE_ROWS} rows; write them to many files")
-        df = df.coalesce(1)
     df.write.mode("overwrite").options(**{**_CSV, "header": header}).csv(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:
+    """A folder of JSON lines; a null field is written as such."""
     df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 

@@ -5,17 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from roadpulse.schemas import FEED
-from roadpulse.sinks.keyed import insert_if_absent
-from roadpulse.sources.feeds import unnest_alerts, unnest_jams
+from roadpulse.sinks.keyed import insert_if_absent, write_batch
+from roadpulse.sources.feeds import (
+    good_documents, parse_feed, quarantined_documents, unnest_alerts, unnest_jams,
+)
 
 
 def stream_feed(spark: SparkSession, path: str, files_per_trigger: int | None = None) -> DataFrame:
-    """Feed files as they arrive: one row per file with `file` and `celdas`."""
-    reader = spark.readStream.schema(FEED).option("multiLine", True).option("pathGlobFilter", "*.json")
+    """Feed files as they arrive, read as `feeds.read_feed` does: unusable ones are marked, not lost."""
+    reader = spark.readStream.format("text").option("wholetext", True).option("pathGlobFilter", "*.json")
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return reader.json(path).select(F.col("_metadata.file_name").alias("file"), "celdas")
+    return parse_feed(reader.load(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("value").alias("text")))
 
 
 def _trigger(seconds: int | None) -> dict:
@@ -23,20 +25,22 @@ def _trigger(seconds: int | None) -> dict:
 
 
 def ingest_feed(
-    spark: SparkSession, path: str, alerts_path: str, jams_path: str, checkpoint: str,
+    spark: SparkSession, path: str, alerts_path: str, jams_path: str, bad_path: str, checkpoint: str,
     every_seconds: int | None = None, files_per_trigger: int | None = None,
 ) -> StreamingQuery:
     """Add unseen alerts and jams to their collections, exactly and over the whole history.
 
-    `every_seconds=None` takes what is there and stops. A batch that is retried replaces its
-    own rows, see `insert_if_absent`.
+    Files that cannot be used go to `bad_path` with the reason. `every_seconds=None` takes what
+    is there and stops. A batch that is retried replaces its own rows, see `insert_if_absent`.
     """
     order = ["file", "cell", "pos"]
 
     def store(batch: DataFrame, number: int) -> None:
         batch.persist()         # read and parsed once for both collections
-        insert_if_absent(unnest_alerts(batch), alerts_path, ["uuid"], order, number)
-        insert_if_absent(unnest_jams(batch), jams_path, ["uuid"], order, number)
+        good = good_documents(batch)
+        insert_if_absent(unnest_alerts(good), alerts_path, ["uuid"], order, number)
+        insert_if_absent(unnest_jams(good), jams_path, ["uuid"], order, number)
+        write_batch(quarantined_documents(batch), bad_path, number)
         batch.unpersist()
 
     return (

@@ -4,6 +4,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from roadpulse.operators import documents, duplicates as dup
 from roadpulse.plans import jobs
 from roadpulse.schemas import ALERTS, JAMS
 from roadpulse.sinks import keyed, writers
@@ -48,10 +49,10 @@ def feed(tmp_path):
 
 
 def test_read_feed_and_quarantine(spark, feed):
-    documents = feeds.read_feed(spark, str(feed))
-    bad = {r.file: r.reason for r in feeds.quarantined_documents(documents).collect()}
+    read = feeds.read_feed(spark, str(feed))
+    bad = {r.file_name: r.reason for r in feeds.quarantined_documents(read).collect()}
     assert bad == {"f3.json": "missing_celdas", "f4.json": "malformed"}
-    good = feeds.good_documents(documents)
+    good = feeds.good_documents(read)
     assert feeds.unnest_alerts(good).count() == 6 and feeds.unnest_jams(good).count() == 3
     items = feeds.feed_items(good)
     assert items.filter("kind = 'alerta'").count() == 6 and items.select("file", "pos").distinct().count() == 9
@@ -61,8 +62,50 @@ def test_flat_feed(spark, tmp_path):
     put(tmp_path / "flat", "l.json", [
         {"uuid": 5, "roadType": 1, "street": "S"}, {"uuid": "u", "subtype": "x", "reportRating": 3}, {"type": "T"}])
     rows = feeds.read_flat_feed(spark, str(tmp_path / "flat")).orderBy("pos").collect()
-    assert [(r.file, r.pos, r.uuid, r.roadType) for r in rows] == [
-        ("l.json", 0, "5", 1), ("l.json", 1, "u", None), ("l.json", 2, None, None)]
+    assert [(r.file.endswith("/flat/l.json"), r.pos, r.uuid, r.roadType) for r in rows] == [
+        (True, 0, "5", "1"), (True, 1, "u", None), (True, 2, None, None)]
+
+
+def test_a_mistyped_field_costs_neither_its_object_nor_its_file(spark, tmp_path):
+    put(tmp_path / "feed", "f.json", {"celdas": [
+        cell([an_alert("a", confidence="high"), an_alert("b", location="here"), an_alert("c", confidence="0.5"), "text"],
+             [a_jam(1, length="far"), a_jam("x"), a_jam(2, length=7.0)]),
+        "no cell", {"data": 3}, cell({"not": "a list"}, [a_jam(3, length=2.5)])]})
+    read = feeds.read_feed(spark, str(tmp_path / "feed"))
+    assert feeds.quarantined_documents(read).isEmpty()
+    good = feeds.good_documents(read)
+    alerts = [(r.uuid, r.confidence, r.location and r.location.x) for r in feeds.unnest_alerts(good).orderBy("pos").collect()]
+    assert alerts == [("a", None, -70.9), ("b", 1.0, None), ("c", 0.5, -70.9), (None, None, None)]
+    jams = [(r.uuid, r.length, r.severity) for r in feeds.unnest_jams(good).orderBy("cell", "pos").collect()]
+    assert jams == [(1, None, 2), (None, 10, 2), (2, 7, 2), (3, None, 2)]
+
+
+def test_files_of_one_name_in_two_folders_are_two_files(spark, tmp_path):
+    put(tmp_path / "one", "same.json", {"celdas": [cell([an_alert("a")])]})
+    put(tmp_path / "two", "same.json", {"celdas": [cell([an_alert("a")])]})
+    good = feeds.good_documents(feeds.read_feed(spark, [str(tmp_path / "one"), str(tmp_path / "two")]))
+    items = feeds.feed_items(good)
+    assert items.select("file").distinct().count() == 2
+    assert dup.repeated(dup.keys_by_file(items)).isEmpty()
+    accounts = sorted((r.found, r.inserted) for r in documents.ingest_accounting(items).collect())
+    assert accounts == [(1, 0), (1, 1)]
+
+
+def test_a_folder_with_both_shapes(spark, tmp_path):
+    folder = tmp_path / "mixed"
+    put(folder, "nested.json", {"celdas": [cell([an_alert("a")], [a_jam(1)])]})
+    put(folder, "flat.json", [{"uuid": "u", "subtype": "x", "reportRating": "five"}, {"uuid": 5, "roadType": 1, "street": "S"}])
+    put(folder, "cut_flat.json", '  [{"uuid": 1}, ')
+    put(folder, "cut_nested.json", '{"celdas": [{')
+    put(folder, "neither.json", '{"otros": []}')
+    put(folder, "blank.json", " ")
+    read = feeds.read_documents(spark, str(folder))
+    bad = {r.file_name: r.reason for r in feeds.quarantined_documents(read).collect()}
+    assert bad == {"cut_flat.json": "malformed", "cut_nested.json": "malformed", "blank.json": "malformed",
+                   "neither.json": "missing_celdas"}
+    got = sorted((r.file.rsplit("/", 1)[1], r.kind, r.uuid) for r in feeds.mixed_items(read).collect())
+    assert got == [("flat.json", "alerta", "u"), ("flat.json", "atasco", "5"),
+                   ("nested.json", "alerta", "a"), ("nested.json", "atasco", "1")]
 
 
 HEADER = "uuid,city,municipalityUser,type,street,confidence,location_x,location_y,fecha\n"
@@ -89,14 +132,37 @@ def test_jam_street_comma_does_not_move_the_city(spark, tmp_path):
     assert (row.city, row.street) == ("C", "A, B")
 
 
-def test_csv_round_trip_and_single_file(spark, tmp_path, monkeypatch):
+def test_csv_round_trip(spark, tmp_path):
     df = spark.createDataFrame([("a, b", 1), ('q"x', None)], "s string, n int")
     path = str(tmp_path / "out")
-    writers.write_csv(df, path, single_file=True)
+    writers.write_csv(df, path)
     assert sorted(map(str, tables.read_csv(spark, path, df.schema).collect())) == sorted(map(str, df.collect()))
-    monkeypatch.setattr(writers, "SINGLE_FILE_ROWS", 1)
-    with pytest.raises(ValueError):
-        writers.write_csv(df, path, single_file=True)
+
+
+def test_csv_files_follow_the_order(spark, tmp_path):
+    path = tmp_path / "out"
+    writers.write_csv(spark.range(2000).orderBy(F.desc("id")), str(path))
+    lines = [line for file in sorted(path.glob("part-*.csv")) for line in file.read_text().split()]
+    assert [int(x) for x in lines if x != "id"] == list(range(1999, -1, -1))
+
+
+def test_inferred_csv_and_collections(spark, tmp_path):
+    put(tmp_path / "csv", "a.csv", "n,s\n1,x\n2,y\n")
+    assert dict(tables.read_csv_inferred(spark, str(tmp_path / "csv")).dtypes) == {"n": "int", "s": "string"}
+    spark.createDataFrame([(1, "a")], "_id int, uuid string").write.parquet(str(tmp_path / "c"))
+    assert tables.read_collection(spark, str(tmp_path / "c")).columns == ["uuid"]
+    assert tables.read_collection(spark, str(tmp_path / "c"), keep_id=True).columns == ["_id", "uuid"]
+
+
+def test_request_summary_and_key_list_as_json(spark, tmp_path):
+    log = spark.createDataFrame([("alerta", "hit", 0.001, 0), ("alerta", "hit", 0.001, 1), ("atasco", "miss", 0.004, 4),
+                                 ("atasco", "no_encontrado", None, 4)], "tipo string, resultado string, tiempo_ms double, segundo long")
+    keys = spark.createDataFrame([("alerta", "a"), ("atasco", None)], "tipo string, uuid string")
+    jobs.summarise_requests(log, keys, str(tmp_path), "r")
+    whole = spark.read.json(str(tmp_path / "resumen/r")).filter("tipo = 'todos'").first()
+    assert (whole.hit_ms, whole.miss_ms, whole.hit_ms_mean, whole.total_requests) == (0.002, 0.004, 0.001, 4)
+    lines = "".join(f.read_text() for f in (tmp_path / "claves/r").glob("part-*"))
+    assert '{"tipo":"atasco","uuid":null}' in lines
 
 
 def test_result_files_without_header_stubs(spark, tmp_path):
@@ -140,9 +206,10 @@ def test_document_store_overwrites_by_id(spark, tmp_path):
 
 def test_whole_batch_job(spark, feed, tmp_path):
     base = str(tmp_path)
-    bad = jobs.ingest(spark, str(feed), f"{base}/store", 0)
+    bad = jobs.ingest(spark, str(feed), f"{base}/store")
     assert bad.count() == 2
-    jobs.ingest(spark, str(feed), f"{base}/store", 1)          # nothing new
+    jobs.ingest(spark, str(feed), f"{base}/store")              # nothing new
+    jobs.ingest(spark, str(feed), f"{base}/store", retry_of=0)  # the same again
     run = "ejecucion_20250601_100000"
     jobs.clean(spark, f"{base}/store", f"{base}/clean", run)
     alerts = {r.uuid: r for r in tables.read_latest(spark, f"{base}/clean/alertas_limpias").collect()}
@@ -153,12 +220,34 @@ def test_whole_batch_job(spark, feed, tmp_path):
     results = jobs.rank(spark, f"{base}/clean", f"{base}/results", run)
     assert [tuple(r) for r in results["horas_pico"].collect()] == [("07", 3)]
     assert [r.uuid for r in results["atascos_largos"].orderBy(*jobs.result_order("atascos_largos")).collect()] == ["2", "1"]
-    jobs.index_results(results, f"{base}/index", "2025-06-01T10:00:00", 0)
-    documents = keyed.current_documents(spark, f"{base}/index").collect()
-    jam = json.loads(next(d._source for d in documents if d._id == "atascos_largos_0"))
+    jobs.export_results(results, f"{base}/csv", run)
+    assert sorted(p.name for p in (tmp_path / "csv").iterdir()) == sorted(results)
+    jams = next((tmp_path / f"csv/atascos_largos/{run}").glob("part-*.csv")).read_text().splitlines()
+    assert jams[0].startswith("uuid,severity,country") and [line[0] for line in jams[1:]] == ["2", "1"]
+    jobs.index_results(results, f"{base}/index", "2025-06-01T10:00:00")
+    indexed = keyed.current_documents(spark, f"{base}/index").collect()
+    jam = json.loads(next(d._source for d in indexed if d._id == "atascos_largos_0"))
     assert (jam["uuid"], jam["archivo_origen"], jam["fila_numero"]) == ("2", "atascos_largos", 1)
 
 
+def test_a_second_feed_leaves_the_first_in_place(spark, tmp_path):
+    store = str(tmp_path / "store")
+    for name in ("a", "b"):
+        put(tmp_path / name, "f.json", {"celdas": [cell([an_alert(name)], [])]})
+        jobs.ingest(spark, str(tmp_path / name), store)
+    assert sorted(r.uuid for r in keyed.read_inserted(spark, f"{store}/alertas").collect()) == ["a", "b"]
+    jobs.ingest(spark, str(tmp_path / "b"), store, retry_of=1)
+    assert sorted(r.uuid for r in keyed.read_inserted(spark, f"{store}/alertas").collect()) == ["a", "b"]
+    assert keyed.next_batch(spark, f"{store}/alertas") == 2
+
+
+def test_position_of_the_one_document_without_a_key(spark):
+    rows = [(f"u{i}" if i != 5 else None, f"f{i // 4}", i % 4, 0) for i in range(12)]
+    numbered = jobs.with_position(spark.createDataFrame(rows, "uuid string, file string, cell int, pos int"))
+    assert numbered.filter("uuid is null").first().position == 5
+    assert "rangepartitioning" not in numbered._jdf.queryExecution().executedPlan().toString()
+
+
 def test_bucketed_table_is_not_shuffled_again(spark):
     spark.sql("drop table if exists keyed_rows")
     writers.write_bucketed(spark.range(100).select(F.col("id").cast("string").alias("uuid")), "keyed_rows", "uuid", 4)
@@ -176,13 +265,16 @@ def test_streamed_ingest_equals_one_batch(spark, feed, tmp_path):
     base, watched = str(tmp_path), tmp_path / "watched"
 
     def sweep():
-        ingest_feed(spark, str(watched), f"{base}/alerts", f"{base}/jams", f"{base}/ckpt").awaitTermination()
+        ingest_feed(spark, str(watched), f"{base}/alerts", f"{base}/jams", f"{base}/bad", f"{base}/ckpt").awaitTermination()
 
     put(watched, "f1.json", (feed / "f1.json").read_text(encoding="utf-8"))
     sweep()
-    put(watched, "f2.json", (feed / "f2.json").read_text(encoding="utf-8"))
+    for name in ("f2.json", "f4.json"):
+        put(watched, name, (feed / name).read_text(encoding="utf-8"))
     sweep()
     sweep()
+    bad = spark.read.parquet(f"{base}/bad").select("file_name", "reason").collect()
+    assert [tuple(r) for r in bad] == [("f4.json", "malformed")]
     alerts = keyed.read_inserted(spark, f"{base}/alerts").collect()
     assert sorted(str(r.uuid) for r in alerts) == ["None", "a", "b"]
     assert next(r.street for r in alerts if r.uuid == "a") == "Av. A, B"
