@@ -48,9 +48,13 @@ def zipf(seed: str, draw: Column, a: float, attempts: int = 32) -> Column:
     """Zipf draw (1, 2, 3, ... with P(x) ~ x^-a) by Devroye's rejection method.
 
     The first accepted attempt counts. `coalesce` stops there, and about three in four are
-    accepted, so the list of the later attempts is made for one row in 200. All 32 fail with
-    a probability below 1e-15; the draw is then null.
+    accepted, so the list of the later attempts is made for one row in 200. Should all 32 be
+    refused (probability below 1e-15) the draw is 1, the likeliest value: it is never null.
+
+    The law ends at 2^62. An `a` so near to 1 that over 1 % of the attempts lie beyond is refused.
     """
+    if not 2.0 ** (-62.0 * (a - 1.0)) <= 0.01:
+        raise ValueError(f"a = {a}: too near to 1 for draws up to 2^62")
     b = 2.0 ** (a - 1.0)
 
     def accept(pair: Column) -> Column:
@@ -70,4 +74,5 @@ def zipf(seed: str, draw: Column, a: float, attempts: int = 32) -> Column:
     singly = min(4, attempts)
     later = F.transform(F.sequence(F.lit(singly), F.lit(attempts - 1)), attempt)
     firsts = [attempt(F.lit(k)) for k in range(singly)]
-    return F.coalesce(*firsts, F.get(F.filter(later, lambda x: x.isNotNull()), F.lit(0)))
+    return F.coalesce(*firsts, F.get(F.filter(later, lambda x: x.isNotNull()), F.lit(0)),
+                      F.lit(1).cast("long"))

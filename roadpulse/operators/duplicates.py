@@ -99,8 +99,9 @@ def repeated_instances(reports: DataFrame) -> DataFrame:
     hot keys are salted in the join and range-split in the numbering. Materialises once.
     """
     keyed = reports.filter(F.col("uuid").isNotNull())
-    counts = keyed.groupBy("uuid").agg(F.count("*").alias("n")).filter(F.col("n") > 1)
-    instances = join_unique(keyed, counts, ["uuid"], "inner", spread=["file", "pos"])
+    counts = keyed.groupBy("uuid").agg(F.count("*").alias("n"))
+    instances = join_unique(keyed, counts.filter(F.col("n") > 1), ["uuid"], "inner",
+                            spread=["file", "pos"], counts=counts, n="n")
     return number_within(instances, ["uuid"], ["file", "pos"], "instance")
 
 

@@ -3,6 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from roadpulse.functions import draws as random_draws
 from roadpulse.operators import (
     documents as docs, duplicates as dup, grid, lookup, numbering, quality, rollups, sampling, skew,
     staging, suppression, topk,
@@ -309,6 +310,30 @@ def test_each_point_has_the_cell_whose_box_holds_it(spark):
     assert "NestedLoop" not in plan(placed)
 
 
+def test_null_keys_of_a_join_are_spread(spark):
+    rows = spark.range(100_000).select(F.when(F.col("id") % 2 == 0, F.col("id") % 5000).alias("k"), "id")
+    table = spark.range(0, 5000, 2).select(F.col("id").alias("k"), (F.col("id") * 10).alias("v"))
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.shuffle.partitions": "32"}
+    before = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        joined = skew.join_unique(rows, table, ["k"], share=0.01)
+        sizes = [r["count"] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 100_000 and max(sizes) < 1.5 * 100_000 / 32
+        assert joined.filter("v is null").count() == 50_000
+        assert skew.join_unique(rows, table, ["k"], "inner", share=0.01).count() == 50_000
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def test_zipf_exponents_near_one_are_refused(spark):
+    with pytest.raises(ValueError):
+        random_draws.zipf("z", F.col("id"), 1.05)
+
+
 # -- sampling, documents, accounting --------------------------------------------------------
 
 def test_samples_are_skewed_and_complete(spark):
