@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame, types as T
 ASCII_LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(ord("A"), ord("Z") + 1)})
 
 BATCH_ROWS = 1000
+#: Characters of input whose results are gathered before they are handed on (a longer row is handed on alone).
+SLICE_CHARS = 4_000_000
 
 
 def text_of(value: object) -> str:
@@ -30,6 +32,12 @@ def small_batches(docs: DataFrame) -> DataFrame:
     return docs
 
 
+def slices_of(batch: pd.DataFrame, inputs: list[str]) -> Iterator[pd.DataFrame]:
+    """The rows of a batch in order, cut where another `SLICE_CHARS` characters of input are full."""
+    chars = sum(batch[c].map(lambda v: len(text_of(v))).astype("int64") for c in inputs)
+    return (rows for _, rows in batch.groupby(chars.cumsum() // SLICE_CHARS, sort=False))
+
+
 def map_rows(
     docs: DataFrame, columns: list[str], inputs: list[str], fields: str, function: Callable[..., tuple]
 ) -> DataFrame:
@@ -43,9 +51,10 @@ def map_rows(
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [function(*values) for values in zip(*(batch[c] for c in inputs))]
-            out = pd.DataFrame(rows, columns=names, dtype=object, index=batch.index)
-            yield pd.concat([batch[columns], out], axis=1)
+            for part in slices_of(batch, inputs):
+                rows = [function(*values) for values in zip(*(part[c] for c in inputs))]
+                out = pd.DataFrame(rows, columns=names, dtype=object, index=part.index)
+                yield pd.concat([part[columns], out], axis=1)
 
     schema = T.StructType([docs.schema[c] for c in columns] + added)
     return small_batches(docs).select(*dict.fromkeys([*columns, *inputs])).mapInPandas(run, schema)
