@@ -25,6 +25,8 @@ MIN_CHARS = 20
 REGISTERS, ERROR, ERRORS = 12, 0.0163, 8
 #: The places of lines that go are broadcast while there are at most so many (about 50 MB); else documents shuffle.
 BROADCAST_PLACES = 1_000_000
+#: Keys of shared lines are broadcast while there are at most so many (about 50 MB); else lines shuffle by them.
+BROADCAST_LINES = 1_000_000
 _LINE = ["h1", "h2"]
 _DOC = ["__d1", "__d2"]
 
@@ -51,18 +53,23 @@ def lines_of(docs: DataFrame, site: str) -> DataFrame:
         .select(*_DOC, "doc_id", "site", "place", h1.alias("h1"), h2.alias("h2")))
 
 
+def few(keys: DataFrame) -> DataFrame:
+    """A written table of line keys, to be broadcast if it is small: then no line has all its places in one task."""
+    return F.broadcast(keys) if keys.count() <= BROADCAST_LINES else keys
+
+
 def spread_lines(lines: DataFrame, sites: int) -> DataFrame:
     """Keys of the lines that at least `sites` sites have."""
     margin = max(1.0, sites * ERROR * ERRORS)
     # Most lines stand in one site; least and greatest site tell so without a sketch.
     shared = lines.groupBy(*_LINE).agg(F.min("site").alias("a"), F.max("site").alias("b")).filter("a < b")
-    candidates = lines.join(shared, _LINE, "left_semi") if sites > 1 else lines
+    candidates = lines.join(few(materialise(shared.select(*_LINE))), _LINE, "left_semi") if sites > 1 else lines
     sketches = materialise(
         candidates.groupBy(*_LINE).agg(F.hll_sketch_agg("site", F.lit(REGISTERS)).alias("sketch"))
         .select(*_LINE, F.hll_sketch_estimate("sketch").alias("n")))
     sure = sketches.filter(F.col("n") > sites + margin).select(*_LINE)
-    near = sketches.filter(F.col("n").between(sites - margin, sites + margin)).select(*_LINE)
-    exact = (lines.join(near, _LINE, "left_semi").select(*_LINE, "site").distinct()
+    near = materialise(sketches.filter(F.col("n").between(sites - margin, sites + margin)).select(*_LINE))
+    exact = (lines.join(few(near), _LINE, "left_semi").select(*_LINE, "site").distinct()
              .groupBy(*_LINE).count().filter(F.col("count") >= sites).select(*_LINE))
     return sure.unionByName(exact)
 
@@ -71,10 +78,10 @@ def removals(docs: DataFrame, site: str = "source", sites: int = SITES) -> DataF
     """For each document key the places (from 0) of the lines that go."""
     lines = lines_of(docs, site)
     common = materialise(spread_lines(lines, sites))
-    places = lines.join(common, _LINE, "left_semi")
+    places = lines.join(few(common), _LINE, "left_semi")
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", *_DOC, "place")
-    first = places.groupBy(*_LINE).agg(F.min(place).alias("first"))
-    gone = places.join(first, _LINE).filter(place != F.col("first"))
+    first = materialise(places.groupBy(*_LINE).agg(F.min(place).alias("first")))
+    gone = places.join(few(first), _LINE).filter(place != F.col("first"))
     return gone.groupBy(*_DOC).agg(F.array_distinct(F.collect_list("place")).alias("__gone"))
 
 
