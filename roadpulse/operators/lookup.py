@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from roadpulse.functions.text import filled, is_digits
 from roadpulse.functions.values import mean_or_zero, share_percent
+from roadpulse.operators.numbering import total_within
 from roadpulse.operators.skew import join_unique
 from roadpulse.schemas import HIT, KIND_ALERT, KIND_JAM, MISS, NOT_FOUND
 
@@ -86,14 +87,16 @@ def latency_percentiles(log: DataFrame, at: tuple[int, ...] = (50, 90, 99)) -> D
     """Exact latency percentiles by outcome, in place of the full lists of latencies.
 
     Percentile q is the smallest latency that at least q % of the requests stay within. Rows
-    are counted per distinct latency first; logged with two decimals there are at most 100
-    of those per millisecond of range, whatever the length of the log.
+    are counted per distinct latency first, and the counts run up over ranges of latencies, so
+    an outcome that holds all requests, each with its own latency, covers many tasks.
     """
     counts = log.filter(F.col("tiempo_ms").isNotNull()).groupBy("resultado", "tiempo_ms").agg(
         F.count("*").alias("__n"))
-    outcome = Window.partitionBy("resultado")
-    upto = outcome.orderBy("tiempo_ms").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = counts.withColumns({"__upto": F.sum("__n").over(upto), "__all": F.sum("__n").over(outcome)})
+    ranked = total_within(counts, ["resultado"], ["tiempo_ms"], F.col("__n"), "__upto")
+    totals = ranked.groupBy(F.col("resultado").alias("__outcome")).agg(F.max("__upto").alias("__all"))
     within = [F.min(F.when(F.col("__upto") * 100 >= F.col("__all") * q, F.col("tiempo_ms"))).alias(f"p{q}")
               for q in at]
-    return ranked.groupBy("resultado").agg(F.sum("__n").alias("n"), *within)
+    return (
+        ranked.join(totals, F.col("resultado").eqNullSafe(F.col("__outcome")))
+        .groupBy("resultado").agg(F.max("__all").alias("n"), *within)
+    )

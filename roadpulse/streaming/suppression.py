@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from roadpulse.operators.suppression import TTL_SECONDS
@@ -26,24 +27,26 @@ def fills_on_stream(
     """(key, second) of the events that fill, for events arriving in order of time.
 
     The state of a key is the second of its last fill. An event older than that is taken as
-    covered. Keys are texts, seconds whole numbers.
+    covered. Keys are texts, seconds whole numbers; events without a second are left out. State is
+    kept for good: how far a stream may lag behind its events is not known here.
     """
     schema = f"{key} string, {second} bigint"
 
     def fold(
         keys: tuple, frames: Iterator[pd.DataFrame], state: GroupState,
     ) -> Iterator[pd.DataFrame]:
-        seconds = sorted({int(s) for frame in frames for s in frame[second]})
+        seconds = np.unique(np.concatenate([frame[second].to_numpy("int64") for frame in frames]))
         last = state.get[0] if state.exists else None
+        at = 0 if last is None else np.searchsorted(seconds, last + ttl)
         fills = []
-        for moment in seconds:
-            if last is None or moment - last >= ttl:
-                fills.append(moment)
-                last = moment
+        while at < len(seconds):    # from fill to fill; the seconds between them are jumped over
+            last = int(seconds[at])
+            fills.append(last)
+            at = np.searchsorted(seconds, last + ttl)
         if fills:
             state.update((last,))
             yield pd.DataFrame({key: [keys[0]] * len(fills), second: fills})
 
-    slim = events.select(key, second).mapInArrow(_distinct_in_batch, schema)
+    slim = events.filter(F.col(second).isNotNull()).select(key, second).mapInArrow(_distinct_in_batch, schema)
     return slim.groupBy(key).applyInPandasWithState(
         fold, schema, "last bigint", "append", GroupStateTimeout.NoTimeout)

@@ -216,6 +216,25 @@ def test_running_total_over_small_blocks(spark):
         assert got[p] == total
 
 
+def test_total_within_splits_hot_and_null_keys(spark):
+    rows = [(None if i % 5 == 0 else "hot" if i % 5 < 4 else "cold", i, i % 3) for i in range(500)]
+    df = spark.createDataFrame(rows, "k string, pos long, v long").repartition(7)
+    got = {r.pos: r.t for r in numbering.total_within(df, ["k"], ["pos"], F.col("v"), "t").collect()}
+    seen = {}
+    for k, pos, v in rows:
+        seen[k] = seen.get(k, 0) + v
+        assert got[pos] == seen[k]
+
+
+def test_latency_percentiles_without_a_window_by_outcome_alone(spark):
+    rows = [("hit", i / 1000) for i in range(1, 1001)] + [("miss", 5.0), ("miss", 5.0), ("miss", None), (None, 1.0)]
+    got = lookup.latency_percentiles(spark.createDataFrame(rows, "resultado string, tiempo_ms double"))
+    assert {tuple(r) for r in got.collect()} == {
+        ("hit", 1000, 0.5, 0.9, 0.99), ("miss", 2, 5.0, 5.0, 5.0), (None, 1, 1.0, 1.0, 1.0)}
+    empty = spark.createDataFrame([], "resultado string, tiempo_ms double")
+    assert lookup.latency_percentiles(empty).collect() == []
+
+
 # -- time to live ---------------------------------------------------------------------------
 
 def fills_by_hand(events, ttl):
