@@ -1,10 +1,11 @@
 """Nulls, empty and very long texts, ties, repeated rows, empty tables and clashing column names."""
 
+import pandas as pd
 import pytest
 
 import corpus_pipeline
 from roadpulse.llm import (
-    boilerplate, contamination, credentials, divergence, jaccard, licence, pieces, pii, url_filter, warc,
+    boilerplate, contamination, credentials, divergence, jaccard, licence, pieces, pii, text, url_filter, warc,
 )
 
 SCHEMA = ("doc_id long, text string, lang string, source string, n_chars long, "
@@ -38,6 +39,14 @@ def test_scans(docs, none, scan):
     assert scan(none, ["doc_id"]).collect() == []
 
 
+def test_batches_are_handed_on_in_slices(monkeypatch):
+    batch = pd.DataFrame({"text": ["abc", None, "", "x" * 25, "de", "f"], "lang": [None] * 6}, index=[3, 1, 4, 1, 5, 9])
+    monkeypatch.setattr(text, "SLICE_CHARS", 10)
+    parts = [list(p["text"]) for p in text.slices_of(batch, ["text", "lang"])]
+    assert parts == [["abc", None, ""], ["x" * 25], ["de", "f"]]
+    assert list(text.slices_of(batch[:0], ["text", "lang"])) == []
+
+
 def test_lines(spark, docs, none):
     out = boilerplate.remove_boilerplate(docs, sites=2)
     assert out.columns == [c for c in docs.columns if c != "n_removed"] + ["n_removed"] and out.count() == len(ROWS)
@@ -57,6 +66,7 @@ def test_lines_near_and_above_the_threshold(spark, monkeypatch):
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     for limit in (boilerplate.BROADCAST_PLACES, -1):
         monkeypatch.setattr(boilerplate, "BROADCAST_PLACES", limit)
+        monkeypatch.setattr(boilerplate, "BROADCAST_LINES", limit)
         got = {r["doc_id"]: r["text"] for r in boilerplate.remove_boilerplate(docs).collect()}
         assert got.keys() == set(range(10)) and got[0] == rows[0][1] and got[5] == "a line of exactly nine sites"
 
