@@ -5,7 +5,8 @@ has several parts, none of which is proof alone: an identifier, a secret, an end
 of these roles are joined by intervals within one text: two parts are together if at most `REACH` code
 points lie between them. A weak identifier is reported with a secret in reach, a weak secret with an
 identifier or an endpoint, and an endpoint with both. `access` counts as an identifier, `assign` and
-`hex` as secrets. Weak candidates that overlap a plain find are dropped.
+`hex` as secrets. Weak candidates that overlap a plain find are dropped. A mixed value is a weak secret
+whatever it is assigned to, unless the name says that it is an identifier or a place.
 
 The interval join is a sweep: the parts of a text are ordered by start, and each part meets the nearest
 parts of every role on either side. No pair of parts is ever made. Only texts with a weak candidate and
@@ -30,13 +31,19 @@ _VALUE = r"[A-Za-z0-9+/_.=-]"
 ASSIGN = rf"(?i)(?:password|passwd|secret|token|api_?key){_SET}({_VALUE}+)"
 ACCESS = r"AKIA[A-Z0-9]{16,}"
 HEX = r"[0-9a-f]{24,}"
-IDENTIFIER = rf"(?i)(?<![a-z0-9])(?:access_?key(?:_?id)?|client_?id|key_?id|account|user_?name|user|login){_SET}[a-z0-9@._+-]{{3,}}"
-_NAMED = rf"(?i:(?<![a-z0-9])(?:pwd|pass|passphrase|private_?key|auth|credentials?|signature){_SET}{_VALUE}{{6,}})"
-_MIXED = (r"""(?<![A-Za-z0-9+/_-])(?<![:=]\x20{0,4}["']{0,1})(?=[A-Za-z+/_-]*[0-9])(?=[A-Z0-9+/_-]*[a-z])"""
-          r"(?=[a-z0-9+/_-]*[A-Z])[A-Za-z0-9+/_-]{20,}={0,2}")
-SECRET = f"{_NAMED}|{_MIXED}"
+_NAME = (r"(?<![a-z0-9])(?:access_?key_?id|(?<!secret)(?<!secret_)access_?key|client_?id|key_?id|account|user_?name|user|login)"
+         rf"{_SET}")
+IDENTIFIER = rf"(?i){_NAME}[a-z0-9@._+-]{{3,}}"
+_PLACE = rf"(?<![a-z0-9])(?:host|endpoint|server|bucket|region){_SET}"
+_NAMED = (r"(?i:(?<![a-z0-9])(?:secret_?(?:access_?)?key|pwd|pass|passphrase|private_?key|auth|credentials?|signature)"
+          rf"{_SET}{_VALUE}{{6,}})")
+_RUN = r"[A-Za-z0-9+/_-]{20,}={0,2}"
+_MIXED = (r"(?<![A-Za-z0-9+/_-])(?=[A-Za-z+/_-]*[0-9])(?=[A-Z0-9+/_-]*[a-z])"
+          rf"(?=[a-z0-9+/_-]*[A-Z]){_RUN}")
+#: Only matches with a first group count: the values of named identifiers and places are no secrets of their own.
+SECRET = f"(?i:{_NAME}(?=[a-z0-9@._+-]{{3}})|{_PLACE}(?=[a-z0-9._:/-]{{3}})){_RUN}|({_NAMED}|{_MIXED})"
 ENDPOINT = (r"""(?i)(?<![a-z0-9+.-])[a-z][a-z0-9+.-]*://[^\s"'<>]+"""
-            rf"|(?<![a-z0-9])(?:host|endpoint|server|bucket|region){_SET}[a-z0-9._:/-]{{3,}}")
+            rf"|{_PLACE}[a-z0-9._:/-]{{3,}}")
 
 
 def spans(text: Column, kind: str, pattern: str, min_value: int = 0) -> Column:
@@ -79,7 +86,7 @@ def find_parts(docs: DataFrame, columns: list[str]) -> DataFrame:
     """`columns`, the arrays `plain` and `weak` of parts, and a row number that stays."""
     text = F.coalesce("text", F.lit(""))
     plain = [spans(text, "assign", ASSIGN, 6), spans(text, "access", ACCESS), spans(text, "hex", HEX)]
-    weak = [spans(text, k, p) for k, p in (("identifier", IDENTIFIER), ("secret", SECRET), ("endpoint", ENDPOINT))]
+    weak = [spans(text, k, p, n) for k, p, n in (("identifier", IDENTIFIER, 0), ("secret", SECRET, 1), ("endpoint", ENDPOINT, 0))]
     return materialise(docs.select(
         F.struct(*columns).alias("__row"), *(F.size(p).cast("long").alias(f"n_{k}") for k, p in zip(KINDS, plain)),
         F.concat(*plain).alias("__plain"), F.concat(*weak).alias("__weak"),
