@@ -2,8 +2,9 @@
 
 Plain identifiers (email, ip, card, phone) are found by their patterns in the text as it stands.
 Disguised ones need a second look: transducers rewrite look-alike letters and digits of other scripts,
-spelled digits ("five five five") and spelled marks ("name (at) host dot org") while keeping, for each
-character they write, the source characters it came from. The patterns then run over the rewritten
+spelled digits ("five five five") and spelled marks ("name (at) host dot org") while keeping, for each character they write, the source characters it came
+from. Whether a match counts depends on the match alone: with nothing but a plain " at " it needs one of
+`ENDINGS` and a name that isn't one of `NO_NAMES`. The patterns then run over the rewritten
 text, and each find that contains something rewritten and overlaps no plain find is mapped back.
 
 Offsets are code points of the source, ends exclusive. Rows: a null text counts as empty and has no
@@ -60,7 +61,13 @@ _DOT = r"(?:\s*[(\[{<]\s*(?:dot|\.)\s*[)\]}>]\s*|\s+dot\s+|\.)"
 _SPELLED_MAIL = re.compile(rf"(?i)(?<![A-Za-z0-9_%+.-]){_WORD}(?:{_DOT}{_WORD})*?{_AT}[A-Za-z0-9-]+(?:{_DOT}[A-Za-z0-9-]+)+")
 # Endings that make "name at host dot ending" an address even without brackets.
 ENDINGS = frozenset("com org net edu gov info io co de fr es uk eu it nl ch at us ca".split())
-_SPELLED_HINT = re.compile(r"(?i)[(\[{<]\s*(?:at|@|dot|\.)\s*[)\]}>]|\sdot\s")
+#: Words that stand before a plain " at " and a plain host in prose, as in "look at example.com".
+NO_NAMES = frozenset((
+    "is are was were be been it us me him them here there this that these those look looks looking looked see available "
+    "found find hosted online located works worked working page site website and or not but as only now").split())
+#: An at mark with a host behind it, as every match of `_SPELLED_MAIL` has; begins with a set, which is searched fast.
+_MAIL_HINT = re.compile(
+    rf"[aA@](?:(?<=@)|(?<=[\s(\[{{<][aA])[tT](?=[\s)\]}}>]))\s*(?:[)\]}}>]\s*)?[A-Za-z0-9-]+(?i:{_DOT})[A-Za-z0-9-]")
 _ALIKE_HINT = re.compile(f"[{re.escape(''.join(LOOK_ALIKES))}]")
 _MARKS = re.compile(rf"(?i){_AT}|{_DOT}")
 
@@ -179,10 +186,14 @@ def normalise(text: str) -> Rewritten | None:
     if edits:
         out.apply(edits)
     edits = []
-    if _SPELLED_HINT.search(out.text):
+    if _MAIL_HINT.search(out.text):
         for mail in _SPELLED_MAIL.finditer(out.text):
-            if not re.search(r"[(\[{<@]", mail[0]) and mail[0].split()[-1].rpartition(".")[2].lower() not in ENDINGS:
-                continue
+            if not re.search(r"[(\[{<@]", mail[0]):
+                words = mail[0].split()
+                if words[-1].rpartition(".")[2].lower() not in ENDINGS:
+                    continue
+                if len(words) == 3 and words[0].lower() in NO_NAMES:
+                    continue
             for m in _MARKS.finditer(out.text, mail.start(), mail.end()):
                 mark = "@" if re.search(r"(?i)at|@", m[0]) else "."
                 if m[0] != mark:

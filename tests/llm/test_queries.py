@@ -208,6 +208,24 @@ def test_op10_leaves_plain_prose(text):
     assert pii.scan_text(text)[5] == ""
 
 
+@pytest.mark.parametrize("text, finds", [
+    ("mail jane at example.com now", [("email", "jane at example.com")]),
+    ("mail jane @ example.com now", [("email", "jane @ example.com")]),
+    ("this dot that, look at example.com", []), ("look at example.com", []), ("it was at noon.It rained", []),
+])
+def test_op10_marks_decide_by_themselves(text, finds):
+    found = pii.find_disguised(text, pii.find_plain(text))
+    assert [(k, text[s:e]) for k, s, e in found] == finds
+
+
+@pytest.mark.parametrize("part", ["at" * 50_000, "at ", "1 dot ", "one ", "a at ", "one.", "@ ", "1[.]", "5 ", "a.", "5-one,"])
+def test_op10_is_linear(part):
+    import time
+    text, began = " one dot " + part * (100_000 // len(part)), time.monotonic()
+    pii.scan_text(text)
+    assert time.monotonic() - began < 5
+
+
 def words_of(text):
     return [w for w in re.split(EDGES, text.lower()) if w]
 
