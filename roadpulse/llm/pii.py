@@ -2,7 +2,8 @@
 
 Plain identifiers (email, ip, card, phone) are found by their patterns in the text as it stands.
 Disguised ones need a second look: transducers rewrite look-alike letters and digits of other scripts,
-spelled digits ("five five five") and spelled marks ("name (at) host dot org") while keeping, for each character they write, the source characters it came
+spelled digits ("five five five"), dot marks between groups of digits ("192[.]168 dot one dot 1") and spelled
+marks ("name (at) host dot org") while keeping, for each character they write, the source characters it came
 from. Whether a match counts depends on the match alone: with nothing but a plain " at " it needs one of
 `ENDINGS` and a name that isn't one of `NO_NAMES`. The patterns then run over the rewritten
 text, and each find that contains something rewritten and overlaps no plain find is mapped back.
@@ -68,6 +69,16 @@ NO_NAMES = frozenset((
 #: An at mark with a host behind it, as every match of `_SPELLED_MAIL` has; begins with a set, which is searched fast.
 _MAIL_HINT = re.compile(
     rf"[aA@](?:(?<=@)|(?<=[\s(\[{{<][aA])[tT](?=[\s)\]}}>]))\s*(?:[)\]}}>]\s*)?[A-Za-z0-9-]+(?i:{_DOT})[A-Za-z0-9-]")
+_DOT_HINT = re.compile(r"(?i)[(\[{<]\s*(?:dot|\.)\s*[)\]}>]|\sdot\s")
+_TIGHT_DOT = re.compile(r"\.(?<=[A-Za-z0-9]\.)[A-Za-z0-9]")
+_ONE = rf"(?:{_SPELLED_DIGIT}(?!\w))"
+_NEXT = rf"[ \-]{{1,2}}(?:{_ONE}|[0-9](?!\w))"
+#: Up to three digits of which one is spelled, or digits as they stand.
+_GROUP = (rf"(?:(?<!\w)(?:{_ONE}(?:{_NEXT}){{0,2}}|[0-9][ \-]{{1,2}}{_ONE}(?:{_NEXT})?"
+          rf"|[0-9][ \-]{{1,2}}[0-9][ \-]{{1,2}}{_ONE})(?![ \-]{{1,2}}{_ONE})|[0-9]+)")
+#: At least four groups of digits, spelled or not, joined by dot marks.
+_DOTTED_GROUPS = re.compile(rf"(?i)(?<![0-9]){_GROUP}(?:{_DOT}{_GROUP}){{3,}}")
+_DOT_MARK = re.compile(rf"(?i){_DOT}")
 _ALIKE_HINT = re.compile(f"[{re.escape(''.join(LOOK_ALIKES))}]")
 _MARKS = re.compile(rf"(?i){_AT}|{_DOT}")
 
@@ -167,6 +178,26 @@ class Rewritten:
         return any(self.pieces[i][3] for i in range(self._at(a), self._at(b - 1) + 1))
 
 
+def dotted_groups(text: str, spelled: bool) -> list[tuple[int, int, str]]:
+    """What to write for runs of digit groups whose digits or dots are disguised; `spelled`: has spelled digits.
+
+    Where the dots are plain and only digits are spelled, the run must be one IP, as spelled numbers of
+    other kinds may have dots between their digits.
+    """
+    if not (_DOT_HINT.search(text) or spelled and _TIGHT_DOT.search(text)):
+        return []
+    edits = []
+    for run in _DOTTED_GROUPS.finditer(text):
+        groups = [re.findall(r"[a-z]+|[0-9]+", g) for g in _DOT_MARK.sub("\n", run[0].lower()).split("\n")]
+        written = ".".join("".join(SPELLED.get(t, t) for t in g) for g in groups)
+        if "".join(m for m in _DOT_MARK.findall(run[0])).strip("."):
+            edits.append((run.start(), run.end(), written))
+        elif written != run[0] and len(groups) == 4 and text[max(0, run.start() - 5):run.start()].lower() != "plus ":
+            if all(len(g) <= 3 and int(g) <= 255 for g in written.split(".")):
+                edits.append((run.start(), run.end(), written))
+    return edits
+
+
 def normalise(text: str) -> Rewritten | None:
     """The text after all transducers; None if none of them has anything to rewrite."""
     out, changed = Rewritten(text), False
@@ -175,20 +206,24 @@ def normalise(text: str) -> Rewritten | None:
         changed |= bool(edits)
         if edits:
             out.apply(edits)
-    edits = []
-    for run in _SPELLED_RUN.finditer(out.text) if _SPELLED_ONE.search(out.text) else ():
-        tokens = re.findall(r"[A-Za-z]+|[0-9]+", run[0])
-        digits = sum(len(t) if t.isdigit() else t.lower() in SPELLED for t in tokens)
-        if digits >= 7 and any(t.lower() in SPELLED for t in tokens):
-            written = "".join("+" if t.lower() == "plus" else SPELLED.get(t.lower(), t) for t in tokens)
-            edits.append((run.start(), run.end(), written))
+    spelled = _SPELLED_ONE.search(out.text) is not None
+    edits, free = dotted_groups(out.text, spelled), 0
+    for begin, end in [(a, b) for a, b, _ in edits] + [(len(out.text), len(out.text))]:
+        for run in _SPELLED_RUN.finditer(out.text, free, begin) if spelled else ():
+            tokens = re.findall(r"[A-Za-z]+|[0-9]+", run[0])
+            digits = sum(len(t) if t.isdigit() else t.lower() in SPELLED for t in tokens)
+            if digits >= 7 and any(t.lower() in SPELLED for t in tokens):
+                written = "".join("+" if t.lower() == "plus" else SPELLED.get(t.lower(), t) for t in tokens)
+                edits.append((run.start(), run.end(), written))
+        free = end
     changed |= bool(edits)
     if edits:
-        out.apply(edits)
+        out.apply(sorted(edits))
     edits = []
     if _MAIL_HINT.search(out.text):
         for mail in _SPELLED_MAIL.finditer(out.text):
-            if not re.search(r"[(\[{<@]", mail[0]):
+            s, e = out.source(mail.start(), mail.end())
+            if not re.search(r"[(\[{<@]", mail[0] + text[s:e]):
                 words = mail[0].split()
                 if words[-1].rpartition(".")[2].lower() not in ENDINGS:
                     continue

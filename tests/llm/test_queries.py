@@ -212,6 +212,17 @@ def test_op10_leaves_plain_prose(text):
     ("mail jane at example.com now", [("email", "jane at example.com")]),
     ("mail jane @ example.com now", [("email", "jane @ example.com")]),
     ("this dot that, look at example.com", []), ("look at example.com", []), ("it was at noon.It rained", []),
+    ("host 192[.]168[.]1[.]10 down", [("ip", "192[.]168[.]1[.]10")]),
+    ("host 192[.]168.1.10 down", [("ip", "192[.]168.1.10")]),
+    ("é 192 dot 168 (dot) 1 dot 10, two of them", [("ip", "192 dot 168 (dot) 1 dot 10")]),
+    ("in room 5 one nine two dot one six eight dot one dot one zero, two of them",
+     [("ip", "one nine two dot one six eight dot one dot one zero")]),
+    ("at one nine 2.one six eight.1.one zero.", [("ip", "one nine 2.one six eight.1.one zero")]),
+    ("root at 192[.]168[.]1[.]10", [("email", "root at 192[.]168[.]1[.]10"), ("ip", "192[.]168[.]1[.]10")]),
+    ("call plus one.four.nine.nine.five.five.five.six.five.zero three",
+     [("phone", "plus one.four.nine.nine.five.five.five.six.five.zero three")]),
+    ("call plus one.two.three.four five five six six", [("phone", "plus one.two.three.four five five six six")]),
+    ("192 dot 168 dot 1 dot 300", []), ("one dot two dot three", []), ("1.2.3.4 is plain, one is not", []),
 ])
 def test_op10_marks_decide_by_themselves(text, finds):
     found = pii.find_disguised(text, pii.find_plain(text))
