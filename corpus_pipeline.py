@@ -36,8 +36,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, number of pieces and their ids."""
-    return pieces.encode(docs, ["doc_id"])
+    """doc_id, number of pieces, their ids, and the N best segmentations' scores, sizes and round trip."""
+    return pieces.tokens(docs, ["doc_id"])
 
 
 STAGES = [("quality rules", quality), ("line dedup", lines), ("near duplicates", near_duplicates),

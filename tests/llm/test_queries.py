@@ -370,3 +370,14 @@ def test_pipeline(spark, con):
     encode = pieces.vocabulary(pieces.MODEL).encode
     got = {r["doc_id"]: list(r["ids"]) for r in corpus_pipeline.run(spark, SF_DIR).collect()}
     assert got == {i: encode(t) for i, t in texts.items() if i not in bad}
+
+
+def test_pipeline_ends_in_the_whole_operator(spark):
+    """The last stage has what op5 says of the same texts, and the ids that its digest is of."""
+    docs = spark.createDataFrame([(1, "Hello world"), (2, "naïve.\nx in▁on"), (3, None), (4, "")], "doc_id long, text string")
+    last = {r["doc_id"]: r for r in corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR).collect()}
+    for want in pieces.segment(docs, ["doc_id"]).collect():
+        got = last[want["doc_id"]]
+        assert all(got[c] == want[c] for c in ("n_pieces", "score", "nbest_scores", "nbest_pieces", "round_trip"))
+        assert hashlib.sha256(np.array(got["ids"], dtype=np.int32).tobytes()).hexdigest() == want["ids_sha256"]
+    assert all(r["round_trip"] for r in last.values())
