@@ -3,9 +3,10 @@
 The index lists, for each word that few templates have (its inverse document frequency over the
 templates is high), the templates and positions where it stands. A file's such words are looked up;
 postings of one template at one relative position (place in the file less place in the template)
-count together. A template is reported where enough of its rare words agree on a position and all
-its mandatory phrases stand in the stretch of the file it covers there. The score of a place is the
-share of the template's words found at their positions.
+count together, and so do positions that differ by a few inserted or missing words. A template is reported
+where enough of its rare words agree on a position and all its mandatory phrases stand in the stretch of the
+file that the agreeing positions cover, with the same slack. The place reported is the position of most words;
+its score is the share of the template's words found at one of the agreeing positions.
 
 Base labels beside that: wherever one of `PHRASES` stands, word by word.
 
@@ -54,6 +55,7 @@ TEMPLATES = {
 NAMES = {"mit-notice": "mit", "apache-2.0": "apache"}
 RARE_IN = 3          # a word is rare if at most so many templates have it, and it is no function word
 RARE_SHARE = 0.5     # of a template's rare words so many must agree on a relative position
+SLACK_PART = 4       # a place gives way by two words and a quarter of the template's
 RESULT = ("n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, "
           "score double, matches string")
 # Bytes that belong to no word become spaces; capitals become small.
@@ -92,21 +94,30 @@ class Index:
     def find(self, words: list[bytes], wanted: Iterable[bytes]) -> list[tuple[str, int, float]]:
         """Template, first word and score of each verified place; `wanted`: rare words of the file."""
         wanted = set(wanted)
-        aligned: Counter = Counter()
+        aligned: dict[str, dict[int, list[int]]] = defaultdict(lambda: defaultdict(list))
         for place, word in enumerate(words):
             if word in wanted:
                 for name, position in self.postings[word]:
-                    aligned[name, place - position] += 1
+                    aligned[name][place - position].append(position)
         out = []
-        for (name, start), n in aligned.items():
-            template = self.words[name]
-            if n < RARE_SHARE * self.rare[name]:
-                continue
-            here = words[max(0, start):start + len(template)]
-            joined = b" " + b" ".join(here) + b" "
-            if all(b" " + p + b" " in joined for p in self.mandatory[name]):
-                there = template[max(0, -start):]
-                out.append((name, max(0, start), sum(a == b for a, b in zip(here, there)) / len(template)))
+        for name, found in aligned.items():
+            template, needed = self.words[name], RARE_SHARE * self.rare[name]
+            slack = 2 + len(template) // SLACK_PART
+            used: set[int] = set()
+            for start in sorted(found, key=lambda o: (-len(found[o]), o)):     # places of most words first
+                if start in used:
+                    continue
+                band = [o for o in range(start - slack, start + slack + 1) if o in found and o not in used]
+                agreeing = [(o, position) for o in band for position in found[o]]
+                if min(len({o + p for o, p in agreeing}), len({p for _, p in agreeing})) < needed:
+                    continue
+                first, last = max(0, band[0] - slack), max(0, band[-1] + len(template) + slack)
+                joined = b" " + b" ".join(words[first:last]) + b" "
+                if all(b" " + p + b" " in joined for p in self.mandatory[name]):
+                    used.update(band)
+                    there = sum(any(0 <= o + i < len(words) and words[o + i] == w for o in band)
+                                for i, w in enumerate(template))
+                    out.append((name, max(0, start), there / len(template)))
         return sorted(out, key=lambda x: (x[1], x[0]))
 
 

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 
 import corpus_pipeline
-from roadpulse.llm import boilerplate, contamination, credentials, divergence, jaccard, pieces, pii
+from roadpulse.llm import boilerplate, contamination, credentials, divergence, jaccard, licence, pieces, pii
 from roadpulse.llm.queries import ORACLE, QUERIES
 from tests.compare import connect, difference
 
@@ -159,6 +159,21 @@ def test_op3(spark, texts):
         assert {x for _, x in at} <= set(row["labels"].split(",")) and 0 <= row["score"] <= 1
 
 
+def test_op3_allows_for_inserted_words():
+    index = licence.Index(licence.TEMPLATES)
+
+    def found(text):
+        words = licence.words_of(text)
+        return index.find(words, set(words) & index.postings.keys())
+    mit = licence.TEMPLATES["mit"][0]
+    assert found(f"a b {mit} c") == [("mit", 2, 1.0)] and found(f"{mit} {mit}") == [("mit", 0, 1.0), ("mit", 29, 1.0)]
+    inserted = mit.replace("any person obtaining", "any person or organization obtaining")
+    assert [x[0] for x in found(f"a b {inserted} c")] == ["mit"] and found(inserted)[0][2] == 1.0
+    missing = mit.replace(" a copy of", " of")
+    assert [x[0] for x in found(missing)] == ["mit"]
+    assert found(mit.replace("free of charge", "for a fee")) == [] and found("permission to deal in software " * 9) == []
+
+
 def base_private(text):
     out = [("email", m.start(), m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
     out += [("ip", m.start(), m.end()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text)
