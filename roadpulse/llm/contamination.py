@@ -5,7 +5,8 @@ mask selects some; the selected words are hashed. Documents and benchmark items
 seed under the same mask are laid over each other at that place, and the item's words are compared one
 by one with the document's words there, over a stretch of `STRETCH` words around the seed. A document is
 contaminated if, in such a stretch, at least `OVERLAP` of the words are equal: up to a fifth may be
-replaced, wherever they are. Items of fewer than `SPAN` words are too short to be evidence and are left out.
+replaced, wherever they are. Items of fewer than `SPAN` words have no seeds; a document is contaminated by
+them if all their words stand there one after another.
 
 Rows: null texts have no words; repeated documents are judged alike; equal items count as one; with an
 empty benchmark nothing is contaminated. Documents are identified by a key of doc_id and text.
@@ -57,19 +58,45 @@ def seeds_of(rows: DataFrame, keep: list[str]) -> DataFrame:
             for n, mask in enumerate(MASKS)))).alias("seed")))
 
 
+def copies(ours: DataFrame, items: DataFrame, key: list[str]) -> DataFrame | None:
+    """As `overlaps`, for items of fewer than `SPAN` words, which must be copied whole; None if there are none.
+
+    A document's windows of the items' lengths are joined with the items by all their word hashes.
+    """
+    counts = items.groupBy(F.size("hashes").alias("n")).count().collect()     # at most SPAN - 1 rows
+    if not counts:
+        return None
+
+    def windows_of(n: int) -> Column:
+        places = F.sequence(F.lit(1), F.size("hashes") - n + 1)
+        return F.when(F.size("hashes") >= n, F.transform(places, lambda i: F.slice("hashes", i, F.lit(n)))).otherwise(
+            F.lit([]).cast("array<array<bigint>>"))
+
+    windows = F.flatten(F.array(*(windows_of(r["n"]) for r in sorted(counts))))
+    theirs = items.select(F.col("hashes").alias("window"), "item_id")
+    small = sum(r["count"] for r in counts) <= BROADCAST_SEEDS
+    return (
+        ours.select(*key, F.explode(F.array_distinct(windows)).alias("window"))
+        .join(F.broadcast(theirs) if small else theirs, "window")
+        .select(*key, "item_id", F.size("window").cast("long").alias("n_equal"), F.size("window").cast("long").alias("of"))
+        .distinct())
+
+
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """One row for each contaminated document and item: document key, doc_id, item_id, `n_equal` and `of`.
 
     These are the equal words of the best stretch, and its length.
     """
-    items = materialise(
-        benchmark.select("item_id", hashes_of(F.col("text")).alias("hashes")).filter(F.size("hashes") >= SPAN)
+    every = materialise(
+        benchmark.select("item_id", hashes_of(F.col("text")).alias("hashes")).filter(F.size("hashes") > 0)
         .groupBy("hashes").agg(F.min("item_id").alias("item_id")))
+    items = every.filter(F.size("hashes") >= SPAN)
     theirs = materialise(seeds_of(items, ["item_id"]).select("seed", "item_id", F.col("place").alias("item_place")))
     small = theirs.count() <= BROADCAST_SEEDS
     d1, d2 = key_of(F.col("doc_id"), F.col("text"))
     ours = docs.select(d1.alias("__d1"), d2.alias("__d2"), "doc_id", hashes_of(F.col("text")).alias("hashes"))
     key = ["__d1", "__d2", "doc_id"]
+    short = copies(ours, every.filter(F.size("hashes") < SPAN), key)
     if small:  # a document's hashes come along by reference, and only the stretch around a hit is written out
         hits = seeds_of(ours, [*key, "hashes"]).join(F.broadcast(theirs), "seed")
     else:
@@ -86,11 +113,12 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     here = F.slice("around", opposite + lost - left + 1, stretch - lost)
     there = F.slice("__item", begin + lost + 1, stretch - lost)
     same = F.size(F.filter(F.zip_with(here, there, lambda a, b: a.eqNullSafe(b)), lambda x: x))
-    return (
+    found = (
         hits.join(F.broadcast(items) if small else items, "item_id")
         .select(*key, "item_id", same.alias("n_equal"), stretch.alias("of"))
         .filter(F.col("n_equal") >= F.ceil(F.lit(OVERLAP) * F.col("of")))
         .groupBy(*key, "item_id").agg(F.max("n_equal").cast("long").alias("n_equal"), F.max("of").cast("long").alias("of")))
+    return found if short is None else found.unionByName(short)
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

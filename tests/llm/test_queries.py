@@ -292,6 +292,20 @@ def test_op9_tolerates_substitutions(spark, monkeypatch):
         assert {r["doc_id"] for r in contamination.remove_contaminated(docs, bench).collect()} == {3, 4}
 
 
+def test_op9_finds_copies_of_short_items(spark, monkeypatch):
+    long = " ".join(f"w{i}" for i in range(12))
+    docs = spark.createDataFrame([(1, "So: what is TWO plus two? Four."), (2, "what is two plus three"), (3, "two"), (4, None),
+                                  (5, f"x {long} what is two, plus two"), (5, "a b a b a b")], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "What is two plus two?"), (2, "what is two plus two"), (3, long), (4, ""), (5, None),
+                                   (6, "plus three"), (7, "a b"), (8, "Four")], "item_id long, text string")
+    want = [(1, 1, 5, 5), (1, 8, 1, 1), (2, 6, 2, 2), (5, 1, 5, 5), (5, 3, 12, 12), (5, 7, 2, 2)]
+    for limit in (contamination.BROADCAST_SEEDS, 0):
+        monkeypatch.setattr(contamination, "BROADCAST_SEEDS", limit)
+        found = contamination.overlaps(docs, bench)
+        assert sorted((r["doc_id"], r["item_id"], r["n_equal"], r["of"]) for r in found.collect()) == want
+        assert {r["doc_id"] for r in contamination.remove_contaminated(docs, bench).collect()} == {3, 4}
+
+
 def segmentations(known, part):
     if not part:
         yield 0, ()
