@@ -275,6 +275,8 @@ def join(queries: DataFrame, data: DataFrame, k: int, pivots: int = PIVOTS, bloc
                     ids.append(part["vec_id"].to_numpy())
                     vectors.append(x)
                     continue
+                if best is None and not ids:    # one of a cell's groups that no query was dealt to
+                    continue
                 if best is None:
                     best = Best(np.concatenate(ids), np.concatenate(vectors).astype(exact), k)
                     own = plan.space.of_queries(best.rows.astype(np.float64)).argmin(axis=1)
