@@ -4,65 +4,106 @@ The life of an entry runs from the filling event and is not extended by hits, so
 fill depends on the whole chain before them. Folding a key's events one after another would put
 a hot key into one task. Instead time is cut into chunks. How a chunk is left depends on the
 past only through the last fill, which must be one of the events in the final `ttl` seconds of
-the chunk before. So each (key, chunk) works out, in parallel, where it ends for each of those
-possible entries; a short fold per key then picks the real entry of each chunk; and each
-(key, chunk) marks its fills. Nothing grows with the number of rows per key: a chunk holds at
-most `chunk` distinct seconds and `ttl` entries, and the fold one row per chunk.
+the chunk before. So each (key, chunk) is a small map from the fill it is entered with to the one
+it is left with. Maps of consecutive chunks are composed by doubling: in each round a chunk whose
+map isn't constant yet takes in the one before it, and with it all that this has taken in, so a
+row of n chunks is settled after log2(n) rounds, each of them one join by (key, chunk). In the
+end each (key, chunk) knows its entry and marks its fills.
+
+Nothing grows with the number of rows or chunks of a key: a chunk holds at most `chunk` distinct
+seconds, its map at most `ttl` + 1 entries.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from roadpulse.operators.lookup import FOUND, lookup_tagged
+from roadpulse.operators.skew import null_safe
 from roadpulse.schemas import HIT, MISS, NOT_FOUND
+from roadpulse.session import materialise
 
 TTL_SECONDS = 300               # fixed value of the lookup service
-DENSE_STEPS = 20_000            # work per chunk above which all entries are solved together
-_NEVER = -(1 << 60)             # "no fill yet": far enough back for any time-to-live
-
+_NEVER = -(1 << 60)             # "no fill that still matters": far enough back for any time-to-live
 
-def _last_fill(moments: Column, entry: Column, ttl: int) -> Column:
-    return F.aggregate(moments, entry, lambda last, t: F.when(t - last >= ttl, t).otherwise(last))
 
+class _Chains:
+    """The chunks of a batch on one time axis, each with a stretch of its own.
 
-def _ends_of_dense_chunks(moments: Column, entries: Column, ttl: int) -> Column:
-    """The last fill for each entry of a chunk, for all entries at once.
-
-    Every moment points to the first one at least `ttl` later; following the pointers by
-    doubling gives the end of the chain from each moment. Null arrays stay null.
+    Every moment points to the first one of its chunk that is at least `ttl` later, if there is one.
     """
-    @F.pandas_udf("array<bigint>")
-    def ends(moments: pd.Series, entries: pd.Series) -> pd.Series:
-        found = []
-        for times, entered in zip(moments, entries):
-            if times is None:
-                found.append(None)
-                continue
-            times, entered = np.asarray(times), np.asarray(entered)
-            following = np.searchsorted(times, times + ttl)
-            jump = np.where(following < len(times), following, np.arange(len(times)))
-            while not np.array_equal(jump, further := jump[jump]):
-                jump = further
-            first = np.searchsorted(times, entered + ttl)
-            inside = first < len(times)
-            end = times[jump[np.where(inside, first, 0)]]
-            found.append(np.where(inside, end, entered))
-        return pd.Series(found, dtype=object)
 
-    return ends(moments, entries)
+    def __init__(self, moments: pd.Series, starts: pd.Series, ttl: int, chunk: int) -> None:
+        sizes = moments.map(len).to_numpy()
+        self.ttl, self.stretch = ttl, chunk + 2 * ttl
+        self.base = starts.to_numpy("int64")
+        self.first = np.cumsum(sizes) - sizes
+        self.moment = np.concatenate([*moments, np.empty(0, dtype="int64")]).astype("int64")
+        self.row = np.repeat(np.arange(len(sizes)), sizes)
+        self.axis = self.on_axis(self.moment, self.row)
+        self.next = self.at_least(self.axis + ttl, self.row)
+
+    def on_axis(self, seconds: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        return seconds - self.base[rows] + rows * self.stretch
+
+    def at_least(self, places: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """The first moment of the row from the place on; -1 if there is none."""
+        at = np.searchsorted(self.axis, places)
+        inside = at < len(self.axis)
+        inside[inside] = self.row[at[inside]] == rows[inside]
+        return np.where(inside, at, -1)
+
+    def entered(self, entries: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """The first fill of each row after an entry."""
+        places = np.where(entries == _NEVER, rows * self.stretch, self.on_axis(entries, rows) + self.ttl)
+        return self.at_least(places, rows)
+
+    def ends(self) -> np.ndarray:
+        """The last fill of the chain from each moment, by following the pointers in doubling steps."""
+        jump = np.where(self.next >= 0, self.next, np.arange(len(self.next)))
+        while not np.array_equal(jump, further := jump[jump]):
+            jump = further
+        return self.moment[jump]
+
+    def chain(self, at: np.ndarray) -> np.ndarray:
+        """Marks the moments of the chains from some of them."""
+        fills = np.zeros(len(self.moment), dtype=bool)
+        at = at[at >= 0]
+        while len(at):
+            fills[at] = True
+            at = self.next[at]
+            at = at[at >= 0]
+        return fills
+
+
+def _exits(moments: Column, entries: Column, start: Column, ttl: int, chunk: int) -> Column:
+    """For each entry the chunk's last fill, `_NEVER` if it doesn't reach into the next chunk."""
+    @F.pandas_udf("array<bigint>")
+    def exits(moments: pd.Series, entries: pd.Series, starts: pd.Series) -> pd.Series:
+        chains = _Chains(moments, starts, ttl, chunk)
+        sizes = entries.map(len).to_numpy()
+        rows = np.repeat(np.arange(len(sizes)), sizes)
+        first = chains.entered(np.concatenate([*entries, np.empty(0, "int64")]).astype("int64"), rows)
+        last = np.where(first >= 0, chains.ends()[first], _NEVER) if len(chains.moment) else first
+        last = np.where(last > chains.base[rows] + chunk - ttl, last, _NEVER)
+        return pd.Series(np.split(last, np.cumsum(sizes)[:-1])) if len(sizes) else pd.Series([], dtype=object)
 
+    return exits(moments, entries, start)
 
-def _all_fills(moments: Column, entry: Column, ttl: int) -> Column:
-    start = F.struct(entry.alias("last"), F.array().cast("array<bigint>").alias("fills"))
 
-    def step(state: Column, t: Column) -> Column:
-        filled = F.struct(t.alias("last"), F.concat(state["fills"], F.array(t)).alias("fills"))
-        return F.when(t - state["last"] >= ttl, filled).otherwise(state)
+def _fills(moments: Column, entry: Column, start: Column, ttl: int, chunk: int) -> Column:
+    @F.pandas_udf("array<bigint>")
+    def fills(moments: pd.Series, entry: pd.Series, starts: pd.Series) -> pd.Series:
+        chains = _Chains(moments, starts, ttl, chunk)
+        marked = chains.chain(chains.entered(entry.to_numpy("int64"), np.arange(len(entry))))
+        return pd.Series([chains.moment[a:b][marked[a:b]] for a, b in zip(
+            chains.first, [*chains.first[1:], len(marked)])], dtype=object)
 
-    return F.aggregate(moments, start, step, lambda state: state["fills"])
+    return fills(moments, entry, start)
 
 
 def fill_moments(
@@ -79,65 +120,59 @@ def fill_moments(
                                          .otherwise(F.array(here))).alias("__chunk"))
         .withColumn("__own", here == F.col("__chunk"))
     )
-    chunks = (
+    chunks = materialise(
         placed.groupBy(*keys, "__chunk").agg(
             F.sort_array(F.collect_list(F.when(F.col("__own"), F.col(second)))).alias("__moments"),
             F.collect_list(F.when(~F.col("__own"), F.col(second))).alias("__entries"))
-        .filter(F.size("__moments") > 0)
-    )
-    never = F.lit(_NEVER)
-    # Few events: fold in place. Many: the fold would take |moments| steps for each entry, so
-    # those chunks (and only those; the others pass nulls) go to the vectorised function.
-    dense = F.size("__moments").cast("long") * F.size("__entries") > DENSE_STEPS
+        .filter(F.size("__moments") > 0))
+    start = F.col("__chunk") * chunk
     # A chunk matters to another one only if it can be entered or its last event reaches on.
-    reaches_on = F.element_at("__moments", -1) > (F.col("__chunk") + 1) * chunk - ttl
-    ends = chunks.filter((F.size("__entries") > 0) | reaches_on).select(
-        *keys, "__chunk",
-        _last_fill(F.col("__moments"), never, ttl).alias("__fresh_end"),
-        F.map_from_arrays("__entries", F.when(dense, _ends_of_dense_chunks(
-            F.when(dense, F.col("__moments")), F.when(dense, F.col("__entries")), ttl)).otherwise(
-            F.transform("__entries", lambda e: _last_fill(F.col("__moments"), e, ttl)))
-        ).alias("__end_after"),
-    )
-    entered = _fold_chunks(ends, keys).filter(F.col("__entry") != never)
-    # Reading __entries here too keeps both uses of `chunks` alike, so its shuffle is reused.
-    entry = F.when(F.size(chunks["__entries"]) > 0, F.coalesce(entered["__entry"], never)).otherwise(never)
-    alone = (F.size(chunks["__moments"]) == 1) & (entry == never)       # most chunks of quiet keys
-    fills = F.when(alone, chunks["__moments"]).otherwise(_all_fills(chunks["__moments"], entry, ttl))
-    return (
-        chunks.join(entered, _same(chunks, entered, [*keys, "__chunk"]), "left")
-        .select(*[chunks[k] for k in keys], F.explode(fills).alias(second))
-    )
-
-
-def _fold_chunks(ends: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, chunk, entry): the last fill that still matters when the chunk begins."""
-    never = F.lit(_NEVER)
-    start = F.struct(never.alias("last"),
-                     F.array().cast("array<struct<__chunk:bigint,__entry:bigint>>").alias("done"))
-
-    def step(state: Column, c: Column) -> Column:
-        known = F.map_contains_key(c["__end_after"], state["last"])
-        entry = F.when(known, state["last"]).otherwise(never)
-        end = F.when(known, F.element_at(c["__end_after"], state["last"])).otherwise(c["__fresh_end"])
-        row = F.struct(c["__chunk"].alias("__chunk"), entry.alias("__entry"))
-        return F.struct(end.alias("last"), F.concat(state["done"], F.array(row)).alias("done"))
-
-    # A key whose chunks have no possible entries needs no fold: every chunk starts afresh.
-    linked = ends.groupBy(*keys).agg(
-        F.max(F.size("__end_after")).alias("__links"),
-        F.array_sort(F.collect_list(F.struct("__chunk", "__fresh_end", "__end_after")),
-                     lambda a, b: (a["__chunk"] - b["__chunk"]).cast("int")).alias("__chunks"),
-    ).filter(F.col("__links") > 0)
-    done = F.aggregate("__chunks", start, step, lambda state: state["done"])
-    return linked.select(*keys, F.inline(done)).toDF(*keys, "__chunk", "__entry")
-
-
-def _same(left: DataFrame, right: DataFrame, columns: list[str]) -> Column:
-    condition = F.lit(True)
-    for c in columns:
-        condition = condition & left[c].eqNullSafe(right[c])
-    return condition
+    matters = (F.size("__entries") > 0) | (F.element_at("__moments", -1) > start + chunk - ttl)
+    entries = F.concat(F.array(F.lit(_NEVER)), F.col("__entries"))
+    maps = materialise(chunks.filter(matters).select(
+        *keys, "__chunk", entries.alias("__from"), _exits(F.col("__moments"), entries, start, ttl, chunk).alias("__to")))
+    entered = _exits_in_rows(maps, keys).filter(F.col("__exit") != _NEVER).select(
+        *keys, (F.col("__chunk") + 1).alias("__chunk"), F.col("__exit").alias("__entry"))
+    entry = F.coalesce(F.when(F.size(chunks["__entries"]) > 0, entered["__entry"]), F.lit(_NEVER))
+    known = chunks.join(entered, null_safe(chunks, entered, [*keys, "__chunk"]), "left").select(
+        *[chunks[k] for k in [*keys, "__chunk", "__moments"]], entry.alias("__entry"))
+    return known.select(*keys, F.explode(_fills(F.col("__moments"), F.col("__entry"), start, ttl, chunk)).alias(second))
+
+
+def _exits_in_rows(maps: DataFrame, keys: list[str]) -> DataFrame:
+    """(keys, chunk, exit) of every chunk, from its map (`__from` and `__to` side by side).
+
+    A chunk that nothing reaches into is entered with `_NEVER`, its first entry. An open chunk holds
+    the map over all chunks from `__at` + 1 on to itself.
+    """
+    own = [*keys, "__chunk"]
+
+    def settled(rows: DataFrame, is_first: Column) -> tuple[DataFrame, DataFrame]:
+        """Chunks whose exit is known, and the others."""
+        constant = is_first | (F.size(F.array_distinct("__to")) == 1)
+        return (rows.filter(constant).select(*own, F.element_at("__to", 1).alias("__exit")),
+                rows.filter(~constant).select(*own, "__at", "__from", "__to"))
+
+    done, left = settled(maps.withColumn("__at", F.col("__chunk") - 1), F.size("__from") == 1)
+    parts = [done]
+    while not left.isEmpty():
+        here, long = F.lit(None).cast("bigint"), F.lit(None).cast("array<bigint>")
+        before = reduce(DataFrame.unionByName, parts).select(
+            *own, "__exit", here.alias("__at"), long.alias("__from"), long.alias("__to"),
+        ).unionByName(left.withColumn("__exit", F.lit(None).cast("bigint")))
+        before = before.select(*keys, F.col("__chunk").alias("__at"), F.col("__exit").alias("__in"),
+                               F.col("__at").alias("__b_at"), F.col("__from").alias("__b_from"), F.col("__to").alias("__b_to"))
+        through = F.map_from_arrays(left["__from"], left["__to"])
+        into = F.when(F.col("__in").isNotNull(), F.array("__in")).otherwise(F.col("__b_to"))
+        composed = materialise(
+            left.join(before, null_safe(left, before, [*keys, "__at"]))
+            .select(*[left[c] for c in own], F.col("__b_at").alias("__at"), F.col("__b_from").alias("__from"),
+                    through.alias("__map"), into.alias("__into"))
+            .select(*own, "__at", F.coalesce("__from", F.col("__into")).alias("__from"),
+                    F.transform("__into", lambda x: F.element_at("__map", x)).alias("__to")))
+        done, left = settled(composed, F.col("__at").isNull())
+        parts.append(done)
+    return reduce(DataFrame.unionByName, parts)
 
 
 def request_outcomes(

@@ -265,14 +265,29 @@ def test_ttl_against_a_plain_loop(spark, ttl, chunk, gap):
     assert len(got) == len(set(got)) and set(got) == fills_by_hand(events, ttl)
 
 
-def test_ttl_of_a_dense_key_takes_the_vectorised_way(spark, monkeypatch):
+def test_ttl_of_dense_keys(spark):
+    """Chunks that pass on as many possible fills as a time-to-live has seconds."""
     rng = random.Random(8)
     events = [("hot", t) for t in range(5000) if rng.random() < 0.9] + [("k", t) for t in range(0, 5000, 7)]
+    events += [("full", t) for t in range(3000)] + [(None, t) for t in range(0, 3000, 2)]
     df = spark.createDataFrame(events, "k string, t long")
-    want = fills_by_hand(events, 60)
-    for steps in (0, 500, 10**9):
-        monkeypatch.setattr(suppression, "DENSE_STEPS", steps)
-        assert {tuple(r) for r in suppression.fill_moments(df, ["k"], "t", 60, 600).collect()} == want
+    for chunk in (60, 100, 600):
+        assert {tuple(r) for r in suppression.fill_moments(df, ["k"], "t", 60, chunk).collect()} == fills_by_hand(events, 60)
+
+
+@pytest.mark.parametrize("rare", [0, 50])
+def test_ttl_in_rounds_that_grow_with_the_logarithm_of_the_chunks(spark, monkeypatch, rare):
+    """One key with 80,000 chunks in a row, each entered with a fill of the one before."""
+    written = []
+    whole = suppression.materialise
+    monkeypatch.setattr(suppression, "materialise", lambda df: written.append(whole(df)) or written[-1])
+    seconds = [t for t in range(0, 240_000) if not rare or t % rare != 1]
+    df = spark.createDataFrame([("k", t) for t in seconds], "k string, t long").repartition(4)
+    got = sorted(r.t for r in suppression.fill_moments(df, ["k"], "t", 2, 3).collect())
+    assert got == sorted(t for _, t in fills_by_hand([("k", t) for t in seconds], 2))
+    chunks, maps, *rounds = written
+    assert chunks.count() == 80_000 and len(rounds) <= 18
+    assert sum(r.count() for r in rounds) <= 18 * 80_000
 
 
 def test_request_outcomes(spark):
