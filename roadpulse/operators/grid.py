@@ -6,6 +6,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from roadpulse.sources.feeds import objects_of, opened_cells
+
 
 @dataclass(frozen=True)
 class Grid:
@@ -90,7 +92,7 @@ def cells_with_counts(points: DataFrame, grid: Grid = Grid()) -> DataFrame:
 
 def feed_cell_counts(documents: DataFrame) -> DataFrame:
     """Alerts and jams per cell of the fetched feed documents, from the array sizes alone."""
-    cells = documents.select(F.posexplode("celdas").alias("indice_celda", "celda"))
-    found = [F.sum(F.coalesce(F.array_size(F.col(f"celda.data.{part}")), F.lit(0))).alias(name)
+    cells = opened_cells(documents).withColumnRenamed("cell", "indice_celda")
+    found = [F.sum(F.coalesce(F.array_size(objects_of(part)), F.lit(0))).alias(name)
              for part, name in (("alerts", "alertas"), ("jams", "atascos"))]
     return cells.groupBy("indice_celda").agg(F.count("*").alias("consultas"), *found)

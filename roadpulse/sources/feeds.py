@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from roadpulse.functions.text import base_name
 from roadpulse.operators.duplicates import guess_kind
 from roadpulse.schemas import (
-    ALERT_DOCUMENT, CELL, FEED, FLAT_OBJECT, JAM_DOCUMENT, KIND_ALERT, KIND_JAM,
+    ALERT_DOCUMENT, FEED, FLAT_OBJECT, JAM_DOCUMENT, KIND_ALERT, KIND_JAM,
 )
 
 CORRUPT = "_corrupt_record"
@@ -43,8 +43,7 @@ def parse_documents(texts: DataFrame, text: str = "text", file: str = "file") ->
         F.from_json(F.when(~flat, body), _FEED_OR_TEXT, options).alias("d"), flat.alias("flat"),
         F.from_json(F.when(flat, body), T.ArrayType(T.StringType())).alias("objetos"),
     ).select(
-        "file", "file_name",
-        F.transform("d.celdas", lambda cell: F.from_json(cell, CELL)).alias("celdas"), "objetos",
+        "file", "file_name", F.col("d.celdas").alias("celdas"), "objetos",
         F.when(F.col("flat"), F.col("objetos").isNull())
         .otherwise(F.col("blank") | (F.col(f"d.{CORRUPT}").isNotNull() & F.col("d.celdas").isNull()))
         .alias("malformed"))
@@ -78,20 +77,24 @@ def quarantined_documents(documents: DataFrame) -> DataFrame:
     return documents.filter(unused).select("file", "file_name", reason.alias("reason"))
 
 
-def _cells(documents: DataFrame) -> DataFrame:
-    return documents.select("file", F.posexplode("celdas").alias("cell", "celda"))
+def opened_cells(documents: DataFrame) -> DataFrame:
+    """(file, cell, celda) with each cell as a VARIANT; null if it is none."""
+    return documents.select("file", F.posexplode("celdas").alias("cell", "text")).select(
+        "file", "cell", F.try_parse_json("text").alias("celda"))
 
 
-def _as_texts(schema: T.StructType) -> T.StructType:
-    return T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
+def objects_of(part: str) -> Column:
+    """The objects of one kind in `celda`; null without them."""
+    return F.try_variant_get("celda", f"$.data.{part}", "array<variant>")
 
 
-def _typed(text: Column, kind: T.DataType) -> Column:
-    """A field's text in its type, or null if it does not fit."""
+def _typed(item: Column, path: str, kind: T.DataType) -> Column:
+    """A field in its type, or null if it does not fit."""
     if isinstance(kind, T.StructType):
-        inner = F.from_json(text, _as_texts(kind))
-        return F.when(text.isNotNull(), F.struct(*[
-            _typed(inner[f.name], f.dataType).alias(f.name) for f in kind.fields]))
+        inner = F.try_variant_get(item, path, "variant")
+        return F.when(inner.isNotNull() & ~F.is_variant_null(inner), F.struct(*[
+            _typed(item, f"{path}.{f.name}", f.dataType).alias(f.name) for f in kind.fields]))
+    text = F.try_variant_get(item, path, "string")
     if isinstance(kind, (T.IntegerType, T.LongType)):
         number = text.try_cast("double")        # 5.0 and 5e0 are whole numbers too
         whole = F.when(number == F.rint(number), number.try_cast(kind))
@@ -101,11 +104,9 @@ def _typed(text: Column, kind: T.DataType) -> Column:
 
 def _unnest(documents: DataFrame, part: str, schema: T.StructType) -> DataFrame:
     # explode drops cells without data, and data without the list, by itself
-    opened = _cells(documents).select(
-        "file", "cell", F.posexplode(f"celda.data.{part}").alias("pos", "item"),
-    ).select("file", "cell", "pos", F.from_json("item", _as_texts(schema)).alias("o"))
+    opened = opened_cells(documents).select("file", "cell", F.posexplode(objects_of(part)).alias("pos", "o"))
     return opened.select("file", "cell", "pos", *[
-        _typed(F.col("o")[f.name], f.dataType).alias(f.name) for f in schema.fields])
+        _typed(F.col("o"), f"$.{f.name}", f.dataType).alias(f.name) for f in schema.fields])
 
 
 def unnest_alerts(documents: DataFrame) -> DataFrame:
@@ -127,13 +128,12 @@ def feed_items(documents: DataFrame) -> DataFrame:
         def item(o: Column, i: Column) -> Column:
             place = (F.col("cell").cast("long") * 2 + second) * (1 << 31) + i
             return F.struct(place.alias("pos"), F.lit(kind).alias("kind"),
-                            F.get_json_object(o, "$.uuid").alias("uuid"))
+                            F.try_variant_get(o, "$.uuid", "string").alias("uuid"))
 
         return F.coalesce(F.transform(objects, item), F.array())
 
-    both = F.concat(part(F.col("celda.data.jams"), KIND_JAM, 0),
-                    part(F.col("celda.data.alerts"), KIND_ALERT, 1))
-    return _cells(documents).select("file", F.inline(both))
+    both = F.concat(part(objects_of("jams"), KIND_JAM, 0), part(objects_of("alerts"), KIND_ALERT, 1))
+    return opened_cells(documents).select("file", F.inline(both))
 
 
 def _flat_objects(documents: DataFrame) -> DataFrame:
