@@ -6,18 +6,17 @@ where rows are materialised: a lost executor costs the tasks it ran, not the who
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from roadpulse.operators.documents import as_index_rows, result_documents, united
+from roadpulse.operators.documents import numbered_documents
 from roadpulse.operators.lookup import request_summary
 from roadpulse.operators.quality import clean_alerts, clean_jams
 from roadpulse.operators.rollups import alert_cube, result_tables
-from roadpulse.operators.staging import stage_alerts, stage_jams
-from roadpulse.session import drop_table, materialise
+from roadpulse.operators.staging import FIRST_WRITE, stage_alerts, stage_jams, with_position
+from roadpulse.schemas import RESULT_ORDER
+from roadpulse.session import drop_table, materialise, side_by_side
 from roadpulse.sinks.keyed import BATCH, insert_if_absent, next_batch, read_inserted, write_batch, write_documents
 from roadpulse.sinks.writers import counted, write_csv, write_json, write_metrics, write_run
 from roadpulse.sources.feeds import (
@@ -25,22 +24,6 @@ from roadpulse.sources.feeds import (
 )
 from roadpulse.sources.tables import read_latest
 
-FIRST_WRITE = ("file", "cell", "pos")       # order in which objects came in
-
-# The order each result table is numbered in when it becomes documents.
-RESULT_ORDER = {
-    "horas_pico": [("cantidad_alertas", False), ("hora", True)],
-    "comunas_con_mas_alertas": [("cantidad_alertas", False), ("comuna", True)],
-    "tipos_alerta_frecuencia": [("cantidad", False), ("tipo_alerta", True)],
-    "alertas_tipo_false": [("uuid", True), ("fecha", True)],
-    "comunas_con_mas_accidentes": [("cantidad_accidentes", False), ("comuna", True)],
-    "calles_con_mas_alertas": [("cantidad_alertas", False), ("calle", True)],
-    "calles_con_mas_accidentes": [("cantidad_accidentes", False), ("calle", True), ("ciudad", True)],
-    "atascos_largos": [("length", False), ("uuid", True)],
-    "atascos_por_ciudad": [("largo_total", False), ("ciudad", True)],
-}
-
-
 def result_order(name: str) -> list:
     return [F.col(c).asc() if up else F.col(c).desc() for c, up in RESULT_ORDER[name]]
 
@@ -63,27 +46,6 @@ def ingest(spark: SparkSession, feed: str, store: str, retry_of: int | None = No
     return spark.read.parquet(f"{paths[2]}/{BATCH}={batch}")
 
 
-def with_position(documents: DataFrame) -> DataFrame:
-    """Add `position`, the place in the ingest order, to the one document that lacks its key.
-
-    The store holds at most one such document, as a missing key is a key like others; nothing
-    else needs its position. Counting the rows before it reads three columns and sorts none.
-    """
-    place = F.struct(*FIRST_WRITE)
-    lone = documents.filter(F.col("uuid").isNull()).select(place.alias("place")).first()
-    if lone is None:
-        return documents.withColumn("position", F.lit(None).cast("long"))
-    at = F.struct(*[F.lit(lone.place[c]).cast(documents.schema[c].dataType).alias(c) for c in FIRST_WRITE])
-    return documents.withColumn("position", F.lit(documents.filter(place < at).count()))
-
-
-def _side_by_side(actions: list[Callable[[], None]]) -> None:
-    """Run independent writes at the same time, so small ones do not wait for large ones."""
-    with ThreadPoolExecutor(max_workers=4) as pool:
-        for done in [pool.submit(action) for action in actions]:
-            done.result()
-
-
 def clean(spark: SparkSession, store: str, out: str, run: str) -> None:
     """Stage and clean the stored documents into run-stamped tables, with row counts."""
     kinds = {"alertas": (stage_alerts, clean_alerts), "atascos": (stage_jams, clean_jams)}
@@ -98,7 +60,7 @@ def clean(spark: SparkSession, store: str, out: str, run: str) -> None:
         kept, seen[f"{kind}_limpias"] = counted(keep(prepared, FIRST_WRITE), f"{kind}_limpias")
         write_run(kept, f"{out}/{kind}_limpias", run)
 
-    _side_by_side([partial(clean_kind, kind) for kind in kinds])
+    side_by_side([partial(clean_kind, kind) for kind in kinds])
     write_metrics(spark, seen, f"{out}/metricas", run)
 
 
@@ -110,13 +72,13 @@ def rank(spark: SparkSession, cleaned: str, out: str, run: str) -> dict[str, Dat
     write_run(alert_cube(alerts), f"{out}/cubo_alertas", run)
     cube = spark.read.parquet(f"{out}/cubo_alertas/run_id={run}")
     results = result_tables(alerts, jams, raw, cube)
-    _side_by_side([partial(write_run, df, f"{out}/{name}", run) for name, df in results.items()])
+    side_by_side([partial(write_run, df, f"{out}/{name}", run) for name, df in results.items()])
     return {name: spark.read.parquet(f"{out}/{name}/run_id={run}") for name in results}
 
 
 def export_results(results: dict[str, DataFrame], out: str, run: str) -> None:
     """Each result table as a folder of CSV files with its header, in its ranking's order."""
-    _side_by_side([partial(write_csv, df.orderBy(*result_order(name)), f"{out}/{name}/{run}")
+    side_by_side([partial(write_csv, df.orderBy(*result_order(name)), f"{out}/{name}/{run}")
                    for name, df in results.items()])
 
 
@@ -131,6 +93,4 @@ def index_results(
     results: dict[str, DataFrame], store: str, processed_at: str, retry_of: int | None = None,
 ) -> None:
     """Result rows as documents with lineage into the index store, as a new batch or for one of old."""
-    documents = [as_index_rows(result_documents(name, df, result_order(name), processed_at))
-                 for name, df in results.items()]
-    write_documents(united(documents), store, retry_of)
+    write_documents(numbered_documents(results, RESULT_ORDER, processed_at), store, retry_of)

@@ -384,6 +384,24 @@ FROM (SELECT *, row_number() OVER (ORDER BY {order}) AS rn FROM ({rows}))"""
 
 
 sql("result_documents", " UNION ALL ".join(documents_of(name) for name in RESULTS), "alerts jams staged_alerts")
+# Three loads into the collection: a key's first document stays, and places count in the order of storing.
+ORACLE["refreshed_results"] = ORACLE["result_documents"].replace("alert_docs AS (", "incoming AS (", 1).replace(
+    "staged_alerts AS (", """alert_docs AS (
+  SELECT * EXCLUDE (seq, load, rn), row_number() OVER (ORDER BY load, seq) - 1 AS seq
+  FROM (SELECT *, row_number() OVER (PARTITION BY uuid ORDER BY load, seq) AS rn
+        FROM (SELECT *, CASE WHEN type IN ('JAM', 'HAZARD', 'ACCIDENT') THEN 2 WHEN type = 'POLICE' THEN 0 ELSE 1 END AS load
+              FROM incoming)) WHERE rn = 1),
+staged_alerts AS (""", 1).replace("staged_jams AS (", "incoming_jams AS (", 1).replace("whole_jams AS (", """staged_jams AS (
+  SELECT * EXCLUDE (rn)
+  FROM (SELECT *, row_number() OVER (PARTITION BY uuid ORDER BY severity % 3, fecha, severity, country,
+               length NULLS FIRST, endnode, roadtype, street) AS rn FROM incoming_jams)
+  WHERE rn = 1),
+whole_jams AS (""", 1)
+ORACLE["inserted_in_batches"] = ORACLE["insert_if_absent"]
+sql("indexed_in_batches", f"""
+SELECT 'alertas' AS _index, uuid AS _id, {json_of(["type", "seq"])} AS _source
+FROM (SELECT *, row_number() OVER (PARTITION BY uuid ORDER BY load DESC, seq DESC) AS rn FROM loads)
+WHERE rn = 1 AND uuid IS NOT NULL""", "loads")
 sql("index_counts", f"""
 SELECT 'analisis_horas_pico' AS _index, (SELECT count(*) FROM ({HOURS})) AS documents
 UNION ALL SELECT 'analisis_comunas_con_mas_alertas', (SELECT count(*) FROM ({CITIES}))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -13,13 +15,13 @@ from roadpulse.operators import (
     staging, suppression, topk,
 )
 from roadpulse.plans import bindings as b
-from roadpulse.plans.jobs import result_order
 from roadpulse.schemas import (
-    ALERT_COLUMNS, ALERTS, JAM_COLUMNS, KIND_ALERT, KIND_JAM, struct,
+    ALERT_COLUMNS, ALERTS, JAM_COLUMNS, KIND_ALERT, KIND_JAM, RESULT_ORDER, struct,
 )
-from roadpulse.session import materialise
+from roadpulse.session import materialise, shared_folder, side_by_side
 from roadpulse.sinks import keyed
 from roadpulse.sources import feeds, tables
+from roadpulse.streaming.refresh import refresh_results
 from pyspark.sql import types as T
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -440,9 +442,45 @@ def _results(spark, sf):
 @query
 def result_documents(spark, sf):
     """All nine result tables as documents in the common form."""
-    return docs.united([
-        docs.as_index_rows(docs.result_documents(name, df, result_order(name), PROCESSED_AT))
-        for name, df in _results(spark, sf).items()])
+    return docs.numbered_documents(_results(spark, sf), RESULT_ORDER, PROCESSED_AT)
+
+
+@query
+def refreshed_results(spark, sf):
+    """The nine result indexes after three loads into the collections, each followed by a refresh."""
+    base = f"{shared_folder(spark)}/refreshed-{uuid.uuid4().hex}"
+    load = F.when(F.col("type").isin(STORED_TYPES), 2).when(F.col("type") == "POLICE", 0).otherwise(1)
+    place = {"file": F.format_string("load_%d", "load"), "cell": F.lit(0)}
+    alerts = b.alert_documents(spark, sf).withColumn("load", load).withColumns(place).withColumnRenamed("seq", "pos")
+    jams = b.jam_documents(spark, sf).withColumn("load", (F.col("severity") % 3).cast("int")).withColumns(place).withColumn(
+        "pos", F.lit(0))
+    kinds = {"alertas": (alerts, ["pos"]), "atascos": (
+        jams, ["fecha", "severity", "country", "length", "endNode", "roadType", "street"])}
+    for n in range(3):
+        side_by_side([partial(keyed.insert_if_absent, rows.filter(F.col("load") == n), f"{base}/store/{kind}", ["uuid"],
+                              order, n, buckets=8) for kind, (rows, order) in kinds.items()])
+        new = (spark.read.parquet(f"{base}/store/{kind}/{keyed.BATCH}={n}") for kind in kinds)
+        refresh_results(*new, f"{base}/store", f"{base}/state", f"{base}/index", PROCESSED_AT, n, buckets=8)
+    return keyed.current_documents(spark, f"{base}/index")
+
+
+@query
+def inserted_in_batches(spark, sf):
+    """The two loads of `insert_if_absent` through the store, whose key table is cut into buckets."""
+    path = f"{shared_folder(spark)}/inserted-{uuid.uuid4().hex}"
+    for rows in _halves(spark, sf):
+        keyed.insert_if_absent(rows, path, ["uuid"], ["seq"])
+    return keyed.read_inserted(spark, path)
+
+
+@query
+def indexed_in_batches(spark, sf):
+    """The two loads as documents, the second overwriting the first by id."""
+    path = f"{shared_folder(spark)}/indexed-{uuid.uuid4().hex}"
+    for rows in _halves(spark, sf):
+        newest = quality.first_per_key(rows.filter(F.col("uuid").isNotNull()), ["uuid"], [F.desc("seq")])
+        keyed.write_documents(docs.collection_documents(newest.select("uuid", "type", "seq"), "alertas", "uuid"), path)
+    return keyed.current_documents(spark, path)
 
 
 @query

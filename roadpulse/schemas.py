@@ -22,9 +22,8 @@ JAM_DOCUMENT = struct(
     uuid=_L, severity=_I, country=_S, length=_I, endNode=_S, roadType=_I, speedKMH=_D,
     speed=_D, street=_S, fecha=_S, region=_S, city=_S,
 )
-# Cells and objects are taken as JSON text first, so that a misshapen one spoils no other.
+# Cells are taken as JSON text first, so that a misshapen one spoils no other.
 FEED = struct(celdas=T.ArrayType(_S))
-CELL = struct(data=struct(alerts=T.ArrayType(_S), jams=T.ArrayType(_S)))
 # One element of a flat feed: only the fields that tell the kinds apart, as text.
 FLAT_OBJECT = struct(
     uuid=_S, type=_S, subtype=_S, reportRating=_S, roadType=_S, street=_S, city=_S, fecha=_S,
@@ -68,3 +67,15 @@ RESULT_COLUMNS = {
     "atascos_largos": JAM_COLUMNS,
     "atascos_por_ciudad": ["ciudad", "largo_total", "num_atascos"],
 }
+# The order each result table is ranked and numbered in: column, ascending or not.
+RESULT_ORDER = {
+    "horas_pico": [("cantidad_alertas", False), ("hora", True)],
+    "comunas_con_mas_alertas": [("cantidad_alertas", False), ("comuna", True)],
+    "tipos_alerta_frecuencia": [("cantidad", False), ("tipo_alerta", True)],
+    "alertas_tipo_false": [("uuid", True), ("fecha", True)],
+    "comunas_con_mas_accidentes": [("cantidad_accidentes", False), ("comuna", True)],
+    "calles_con_mas_alertas": [("cantidad_alertas", False), ("calle", True)],
+    "calles_con_mas_accidentes": [("cantidad_accidentes", False), ("calle", True), ("ciudad", True)],
+    "atascos_largos": [("length", False), ("uuid", True)],
+    "atascos_por_ciudad": [("largo_total", False), ("ciudad", True)],
+}

@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,6 +52,13 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def side_by_side(actions: list[Callable[[], None]]) -> None:
+    """Run independent writes at the same time, so small ones do not wait for large ones."""
+    with ThreadPoolExecutor(max_workers=4) as pool:
+        for done in [pool.submit(action) for action in actions]:
+            done.result()
+
+
 def drop_table(df: DataFrame) -> None:
     """Delete a table that `materialise` wrote, once nothing reads it any more."""
     spark = df.sparkSession

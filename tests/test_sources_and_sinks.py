@@ -1,16 +1,19 @@
 import json
+import random
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from roadpulse.operators import documents, duplicates as dup
+from roadpulse.operators import documents, duplicates as dup, incremental
+from roadpulse.operators.suppression import fill_moments
 from roadpulse.plans import jobs
-from roadpulse.schemas import ALERTS, JAMS
-from roadpulse.sinks import keyed, writers
+from roadpulse.schemas import ALERTS, JAMS, RESULT_ORDER
+from roadpulse.sinks import buckets, keyed, writers
 from roadpulse.sources import feeds, tables
 from roadpulse.streaming.ingest import ingest_feed, unseen_within
-from roadpulse.streaming.refresh import refresh_index
+from roadpulse.streaming import refresh
+from roadpulse.streaming.refresh import refresh_index, refresh_results_on_stream
 from roadpulse.streaming.suppression import fills_on_stream
 
 
@@ -193,6 +196,50 @@ def test_insert_if_absent_keeps_the_first_and_can_be_repeated(spark, tmp_path):
     assert got == [("a", 1), ("b", 7), (None, 4)]
 
 
+def files_read(df):
+    return {f.rsplit("/", 2)[-2] for f in df.inputFiles()}
+
+
+def test_insert_reads_only_the_buckets_of_its_keys(spark, tmp_path):
+    path, schema = str(tmp_path / "s"), "uuid string, v int"
+    rows = lambda *r: spark.createDataFrame(r, schema)
+    keyed.insert_if_absent(rows(*((f"k{i}", i) for i in range(200))), path, ["uuid"], ["v"], 0, buckets=16)
+    keyed.insert_if_absent(rows(("k3", -1), ("new", 1)), path, ["uuid"], ["v"], buckets=999)    # the store's number holds
+    first = rows(("k3", 0), ("other", 0)).withColumn(buckets.BUCKET, buckets.bucket_of(["uuid"], 16))
+    known = keyed.stored_keys(spark, path, first, ["uuid"], 7)
+    assert files_read(known) == {f"bucket={n}" for n in buckets.touched(first)} and len(files_read(known)) <= 2
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "ReadSchema: struct<uuid:string,batch_id:bigint>" in plan
+    assert "k3" in {r.uuid for r in known.collect()}
+    assert keyed.read_inserted(spark, path).count() == 201
+    keyed.compact_keys(spark, path, rows(), ["uuid"])
+    assert len(list((tmp_path / "s/_keys").glob("bucket=*/*.parquet"))) <= 16
+    keyed.insert_if_absent(rows(("k3", -1), ("new", 2), ("newer", 1)), path, ["uuid"], ["v"])
+    got = {r.uuid: r.v for r in keyed.read_inserted(spark, path).collect()}
+    assert len(got) == 202 and (got["k3"], got["new"], got["newer"]) == (3, 1, 1)
+
+
+def test_keys_of_a_batch_that_failed_do_not_count(spark, tmp_path, monkeypatch):
+    path, schema = str(tmp_path / "s"), "uuid string, v int"
+    insert = lambda *r, **more: keyed.insert_if_absent(spark.createDataFrame(r, schema), path, ["uuid"], ["v"], **more)
+    insert(("a", 1))
+    with monkeypatch.context() as broken:
+        broken.setattr(keyed, "write_batch", lambda *args: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            insert(("b", 2))
+    insert(("b", 3), batch=5)       # another number: the keys of the failed batch 1 are there, its rows are not
+    insert(("b", 4), ("c", 4))
+    assert sorted(map(tuple, keyed.read_inserted(spark, path).collect())) == [("a", 1), ("b", 3), ("c", 4)]
+
+
+def test_a_store_without_a_key_table_gets_one(spark, tmp_path):
+    path, schema = str(tmp_path / "s"), "uuid string, v int"
+    keyed.write_batch(spark.createDataFrame([("a", 1), (None, 2)], schema), path)
+    keyed.insert_if_absent(spark.createDataFrame([("a", 5), (None, 5), ("b", 5)], schema), path, ["uuid"], ["v"])
+    got = sorted(map(tuple, keyed.read_inserted(spark, path).collect()), key=str)
+    assert got == [("a", 1), ("b", 5), (None, 2)]
+
+
 def test_document_store_overwrites_by_id(spark, tmp_path):
     path, schema = str(tmp_path / "index"), "_index string, _id string, _source string"
     keyed.write_documents(spark.createDataFrame([("i", "1", "old"), ("i", "2", "x")], schema), path, 0)
@@ -200,8 +247,35 @@ def test_document_store_overwrites_by_id(spark, tmp_path):
         keyed.write_documents(spark.createDataFrame([("i", "1", "new"), ("j", "1", "y")], schema), path, 1)
     want = [("i", "1", "new"), ("i", "2", "x"), ("j", "1", "y")]
     assert sorted(map(tuple, keyed.current_documents(spark, path).collect())) == want
-    keyed.compact_documents(spark, path, str(tmp_path / "compact"), 2)
-    assert sorted(map(tuple, keyed.current_documents(spark, str(tmp_path / "compact")).collect())) == want
+    keyed.write_documents(spark.createDataFrame([("i", "1", "old"), ("i", "2", "x")], schema), path, 0)  # late again
+    assert sorted(map(tuple, keyed.current_documents(spark, path).collect())) == want
+    assert keyed.next_batch(spark, path) == 2
+
+
+def test_upsert_replaces_only_the_buckets_it_touches(spark, tmp_path, monkeypatch):
+    path, schema = str(tmp_path / "index"), "_index string, _id string, _source string"
+    documents = lambda *r: spark.createDataFrame(r, schema)
+    keyed.write_documents(documents(*(("i", str(n), "old") for n in range(300))), path, buckets=16)
+    files = lambda: {f: f.stat().st_mtime_ns for f in (tmp_path / "index").glob("bucket=*/*.parquet")}
+    before = files()
+    for n in range(5):
+        keyed.write_documents(documents(("i", "7", f"new{n}"), ("i", "8", f"new{n}")), path)
+    after = files()
+    assert len(after) == len(before) == 16                                   # however many batches there were
+    assert sum(f not in before for f in after) <= 2
+    monkeypatch.setattr(buckets, "materialise", lambda df: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        keyed.write_documents(documents(("i", "9", "lost")), path)
+    got = {r._id: r._source for r in keyed.current_documents(spark, path).collect()}
+    assert len(got) == 300 and (got["7"], got["8"], got["9"]) == ("new4", "new4", "old")
+
+
+def test_documents_are_handed_to_a_connector(spark, tmp_path):
+    documents = spark.createDataFrame([("i", "1", '{"a":1}')], "_index string, _id string, _source string")
+    for _ in range(2):
+        keyed.export_documents(documents, "json", path=str(tmp_path / "out"))
+    got = spark.read.json(str(tmp_path / "out")).collect()
+    assert [(r._index, r._id, r._source) for r in got] == [("i", "1", '{"a":1}')] * 2
 
 
 def test_whole_batch_job(spark, feed, tmp_path):
@@ -296,23 +370,92 @@ def test_refresh_overwrites_by_id(spark, tmp_path):
     assert got == {"a": 2, "b": 1}
 
 
-def test_ttl_on_a_stream(spark, tmp_path):
-    base, schema = str(tmp_path), "k string, t long"
-    parts = [[("k", 0), ("k", 100), ("k", 100), ("m", 5)], [("k", 299), ("k", 300), ("k", 500)], [("k", 601), ("m", 304)]]
-    got = []
+def test_refreshed_results_equal_a_full_rebuild(spark, tmp_path, monkeypatch):
+    """Three triggers with new rows and one with none; the object without a key moves as others come before it."""
+    base, stamp = str(tmp_path), "2025-06-01T10:00:00"
+    loads = [("m", [an_alert("a"), an_alert("b", type="JAM"), an_alert("s1", type="false"), an_alert(..., type="false")],
+              [a_jam(1), a_jam(2, length=50), a_jam(3, city="renca")]),
+             ("z", [an_alert("a", type="JAM"), an_alert("c", street="Otra"), an_alert("d", fecha="2025-06-01 09:00:00"),
+                    an_alert("e", city="")], [a_jam(4, length=None), a_jam(5, length=70)]),
+             ("c", [an_alert("s0", type="false"), an_alert("f"), an_alert("g", street="Otra")], [a_jam(6, city="renca", length=1)])]
+    written = []
+    whole = refresh.write_documents
+    monkeypatch.setattr(refresh, "write_documents", lambda df, *more: (written.append(df.count()), whole(df, *more)))
+
+    def sweep():
+        refresh_results_on_stream(spark, f"{base}/store", f"{base}/state", f"{base}/index", f"{base}/ckpt",
+                                  every_seconds=None, now=lambda: stamp).awaitTermination()
+
+    def rebuilt():
+        run = "ejecucion_20250601_100000"
+        jobs.clean(spark, f"{base}/store", f"{base}/clean", run)
+        results = jobs.rank(spark, f"{base}/clean", f"{base}/results", run)
+        return documents.numbered_documents(results, RESULT_ORDER, stamp).collect()
+
+    for name, alerts, jams in loads:
+        put(tmp_path / name, f"{name}.json", {"celdas": [cell(alerts, jams)]})
+        jobs.ingest(spark, f"{base}/{name}", f"{base}/store")
+        sweep()
+        indexed = keyed.current_documents(spark, f"{base}/index").collect()
+        assert sorted(map(tuple, indexed)) == sorted(map(tuple, rebuilt()))
+    sweep()
+    assert len({r._index for r in indexed}) == 9
+    assert len(written) == 3 and written[1] < len(indexed) and written[2] < len(indexed)
+
 
-    def sweep(n):
-        stream = spark.readStream.schema(schema).parquet(f"{base}/in")
-        query = (fills_on_stream(stream, "k", "t").writeStream.format("parquet")
-                 .option("path", f"{base}/out").option("checkpointLocation", f"{base}/ckpt")
-                 .trigger(availableNow=True).start())
-        query.awaitTermination()
+def test_a_batch_merged_again_counts_once(spark, tmp_path):
+    path = str(tmp_path / "sums")
+    add = lambda batch, *r: incremental.add_sums(
+        spark.createDataFrame(r, "ciudad string, largo_total long, num_atascos long"), path, *incremental.CITIES[1:], batch)
+    add(0, ("a", 10, 1), (None, 5, 1))
+    for _ in range(3):
+        add(1, ("a", 7, 2), ("b", 1, 1), (None, 1, 1))
+    got = sorted(map(tuple, incremental.stored_sums(spark, path, *incremental.CITIES[1:]).collect()), key=str)
+    assert got == [("a", 17, 3), ("b", 1, 1), (None, 6, 2)]
 
-    for n, rows in enumerate(parts):
-        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{base}/in")
-        sweep(n)
-    got = sorted(map(tuple, spark.read.parquet(f"{base}/out").collect()))
-    assert got == [("k", 0), ("k", 300), ("k", 601), ("m", 5)]
+
+@pytest.fixture
+def rocksdb(spark):
+    key = "spark.sql.streaming.stateStore.providerClass"
+    spark.conf.set(key, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    yield
+    spark.conf.unset(key)
+
+
+def fill_sweep(spark, base, rows, ttl, delay):
+    """Feeds a batch of events and returns (fills so far, rows of state)."""
+    schema = "k string, t long"
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{base}/in")
+    query = (fills_on_stream(spark.readStream.schema(schema).parquet(f"{base}/in"), "k", "t", ttl, delay)
+             .writeStream.format("parquet").option("path", f"{base}/out").option("checkpointLocation", f"{base}/ckpt")
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    fills = sorted(map(tuple, spark.read.schema(schema).parquet(f"{base}/out").collect()))
+    return fills, query.lastProgress["stateOperators"][0]["numRowsTotal"]
+
+
+def test_ttl_on_a_stream(spark, tmp_path, rocksdb):
+    base = str(tmp_path)
+    sweep = lambda *rows: fill_sweep(spark, base, rows, 300, "0 seconds")
+    assert sweep(("k", 1000), ("k", 1100), ("k", 1100), ("m", 1005), ("k", None))[0] == [("k", 1000), ("m", 1005)]
+    assert sweep(("k", 1299), ("k", 1300), ("k", 1500))[0] == [("k", 1000), ("k", 1300), ("m", 1005)]
+    # 1305 of m is behind the watermark (1500): too late. 1601 of k is a fill.
+    assert sweep(("k", 1601), ("m", 1305))[0] == [("k", 1000), ("k", 1300), ("k", 1601), ("m", 1005)]
+
+
+def test_ttl_on_a_stream_equals_the_batch_in_any_order(spark, tmp_path, rocksdb):
+    """Events in any order within the delay, and state that goes once the watermark has passed."""
+    rng, ttl, sweeps = random.Random(4), 40, 4
+    events = [(f"k{rng.randrange(30)}", 1000 + 100 * n + rng.randrange(100)) for n in range(sweeps) for _ in range(150)]
+    for n in range(sweeps):
+        part = events[150 * n:150 * (n + 1)]
+        rng.shuffle(part)
+        fills, held = fill_sweep(spark, str(tmp_path), part, ttl, "100 seconds")
+        assert held > 0
+    fills, held = fill_sweep(spark, str(tmp_path), [("end", 9000)], ttl, "100 seconds")
+    df = spark.createDataFrame(events, "k string, t long")
+    assert fills == sorted(map(tuple, fill_moments(df, ["k"], "t", ttl).collect()))
+    assert held == 1        # the last event, which still waits
 
 
 def test_bounded_state_deduplication(spark, tmp_path):
