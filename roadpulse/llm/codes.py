@@ -7,8 +7,9 @@ parts assigned to them for a number of rounds. All arithmetic is in integers and
 The nearest entry is found by slicing and intersecting bitmasks. For each coordinate the entries are sorted,
 and every prefix of that order has a mask, uint64 words with a bit for each entry. A radius around a part
 selects a range in each order by two binary searches; the masks of the range's two ends give the entries
-inside it, and ANDing over all coordinates leaves the entries within the radius in every coordinate. Only
-these are measured. All entries within the radius by Euclidean distance are among them, so a nearest candidate
+inside it, and ANDing over all coordinates leaves the entries within the radius in every coordinate, the
+candidates. Distances are taken to the candidates of some hundred parts together, by a matrix product, and each
+part looks at its own. All entries within the radius by Euclidean distance are among them, so a nearest candidate
 that isn't further away than the radius is the nearest entry. The initial radius is the codebook's own median
 distance between neighbours; parts that it doesn't settle are sliced again with the distance to the best
 candidate (without one, to the entry next in the first coordinate), which settles them all.
@@ -77,19 +78,21 @@ class Slices:
 
     def best(self, parts: np.ndarray, radius: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The nearest candidate of each part and its squared distance; -1 for both where there is none."""
-        inside = np.unpackbits(self.candidates(parts, radius).view(np.uint8), axis=1, bitorder="little")
-        row, entry = np.nonzero(inside)
-        gaps = parts[row] - self.entries[entry]
-        squared = np.einsum("ij,ij->i", gaps, gaps)
-        found, starts = np.unique(row, return_index=True)
-        distance, index = np.full(len(parts), -1), np.full(len(parts), -1)
-        if len(found):
-            distance[found] = np.minimum.reduceat(squared, starts)
-            least = np.flatnonzero(squared == distance[row])
-            # Entries ascend within a row: the first of several nearest has the lowest index.
-            same, first = np.unique(row[least], return_index=True)
-            index[same] = entry[least[first]]
-        return distance, index
+        masks = self.candidates(parts, radius)
+        inside = np.unpackbits(masks.view(np.uint8), axis=1, bitorder="little")
+        # The entries that are a candidate of any of these parts are multiplied with all of them at once.
+        some = np.flatnonzero(inside.any(axis=0))
+        if not len(some):
+            return np.full(len(parts), -1), np.full(len(parts), -1)
+        inside, entries = inside[:, some].astype(bool), self.entries[some]
+        largest = max(int(np.abs(parts).max(initial=0)), int(np.abs(entries).max(initial=0)))
+        exact = np.float64 if 4 * largest ** 2 * max(1, parts.shape[1]) < 1 << 53 else np.int64
+        p, e = parts.astype(exact), entries.astype(exact)
+        squared = ((p * p).sum(axis=1)[:, None] + (e * e).sum(axis=1) - 2 * (p @ e.T)).astype(np.int64)
+        squared[~inside] = np.iinfo(np.int64).max
+        first = squared.argmin(axis=1)      # the lowest index of several nearest
+        found = inside.any(axis=1)
+        return (np.where(found, squared[np.arange(len(parts)), first], -1), np.where(found, some[first], -1))
 
     def nearest(self, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Squared distance and index of the nearest entry of each part, the lowest index of several."""
