@@ -183,8 +183,8 @@ def feed_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_json(F.struct(cells.alias("celdas"))).alias("text"), "n")
 
 
-def flat_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flat feed documents: a JSON list of 64 objects with the fields of their kind."""
+def flat_texts(spark: SparkSession, sf_dir: str, items: int = ITEMS_PER_FILE) -> DataFrame:
+    """Flat feed documents: a JSON list of 64 (or `items`) objects with the fields of their kind."""
     e, kind = F.col("event_id"), F.col("event_type")
     report, jam = kind.isin("error", "view"), kind == "click"
     item = F.struct(
@@ -194,7 +194,7 @@ def flat_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(jam, F.col("k")).alias("roadType"),
         F.when(jam | (kind == "signup"), F.lit("Calle")).alias("street"),
     )
-    files = events(spark, sf_dir).groupBy(_file_number().alias("n")).agg(
+    files = events(spark, sf_dir).groupBy(F.floor(F.col("event_id") / items).alias("n")).agg(
         F.sort_array(F.collect_list(item)).alias("items"))
     return files.select(F.format_string("flat_%09d.json", F.col("n")).alias("file"),
                         F.to_json("items").alias("text"))

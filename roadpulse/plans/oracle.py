@@ -229,6 +229,7 @@ sql("bbox_filter", """
 SELECT uuid, location_x, location_y FROM alerts
 WHERE location_x >= -70.8::DOUBLE AND location_x <= -70.5::DOUBLE
   AND location_y >= -33.5::DOUBLE AND location_y <= -33.3::DOUBLE""", "alerts")
+ORACLE["bbox_clustered"] = ORACLE["bbox_filter"]
 sql("digit_guard", r"""
 SELECT seq, CAST(uuid AS BIGINT) AS clave FROM requests WHERE regexp_full_match(uuid, '[0-9]+')""", "requests")
 
@@ -279,6 +280,19 @@ sql("flat_kind_merge", "SELECT * FROM flat_keys_by_file", "flat_keys_by_file")
 sql("dup_mixed_shapes", """
 SELECT * FROM flat_keys_by_file UNION ALL SELECT file, uuid, n, alerts, jams, kind FROM keys_by_file""",
     "flat_keys_by_file keys_by_file")
+sql("flat_feed_in_ranges", """
+SELECT printf('flat_%09d.json', id // 4096) AS file, id % 4096 AS pos, uuid, kind
+FROM (SELECT *, CAST(file[6:14] AS BIGINT) * 64 + pos AS id FROM flat_rows)""", "flat_rows")
+cte("run_keys", """
+  SELECT file[6:13] AS run, uuid, count(*) AS n, count(*) FILTER (kind = 'alerta') AS alerts,
+         count(*) FILTER (kind = 'atasco') AS jams
+  FROM feed_rows WHERE uuid IS NOT NULL GROUP BY ALL""", "feed_rows")
+sql("run_key_sketches", """
+SELECT run, CAST(sum(n) AS BIGINT) AS objects, count(*) AS distinct_keys, count(*) FILTER (n > 1) AS repeated_keys,
+       count(*) FILTER (alerts > 0 AND jams > 0) AS mixed_keys,
+       count(*) FILTER (EXISTS (SELECT 1 FROM run_keys b WHERE b.uuid = a.uuid AND b.run = (
+         SELECT max(c.run) FROM run_keys c WHERE c.run < a.run))) AS kept_keys
+FROM run_keys a GROUP BY run""", "run_keys")
 sql("repeated_keys", "SELECT uuid, count(*) AS n FROM feed_rows GROUP BY uuid HAVING count(*) > 1", "feed_rows")
 sql("repeated_alerts", """
 SELECT uuid, count(*) AS n FROM reports WHERE uuid IS NOT NULL GROUP BY uuid HAVING count(*) > 1""", "reports")
@@ -445,6 +459,9 @@ FROM (SELECT coalesce(tipo, 'todos') AS tipo, count(*) AS total_requests,
              max(segundo) - min(segundo) AS elapsed_seconds
       FROM log GROUP BY GROUPING SETS ((), (tipo)))""", "log")
 
+sql("latency_sketches", """
+SELECT resultado, count(*) AS n, true AS p50_near, true AS p90_near, true AS p99_near
+FROM log WHERE ms IS NOT NULL GROUP BY resultado""", "log")
 sql("latency_percentiles", """
 SELECT resultado, count(*) AS n, CAST(min(ms) FILTER (r * 100 >= total * 50) AS DOUBLE) AS p50,
        CAST(min(ms) FILTER (r * 100 >= total * 90) AS DOUBLE) AS p90,

@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from roadpulse.functions.text import is_digits, normalize_city
 from roadpulse.functions.values import document_json, first_present
 from roadpulse.operators import (
-    documents as docs, duplicates as dup, grid, lookup, numbering, quality, rollups, sampling,
-    staging, suppression, topk,
+    clustering, documents as docs, duplicates as dup, grid, lookup, numbering, quality, rollups, sampling,
+    sketches, staging, suppression, topk,
 )
 from roadpulse.plans import bindings as b
 from roadpulse.schemas import (
@@ -20,7 +20,7 @@ from roadpulse.schemas import (
 )
 from roadpulse.session import materialise, shared_folder, side_by_side
 from roadpulse.sinks import keyed
-from roadpulse.sources import feeds, tables
+from roadpulse.sources import feeds, ranges, tables
 from roadpulse.streaming.refresh import refresh_results
 from pyspark.sql import types as T
 
@@ -72,6 +72,16 @@ def feed_lenient(spark, sf):
     return alerts.unionByName(jams)
 
 
+@query
+def flat_feed_in_ranges(spark, sf):
+    """Long flat lists, written as files and opened by ranges of 64 KB."""
+    path = f"{shared_folder(spark)}/flat-{uuid.uuid4().hex}"
+    b.flat_texts(spark, sf, 4096).select("text", F.col("file").alias("list")).write.partitionBy("list").text(path)
+    rows = ranges.read_large_flat_feed(spark, f"{path}/*", "*.txt", 1 << 16)
+    return dup.guess_kind(rows).select(
+        F.regexp_extract("file", "list=([^/]+)", 1).alias("file"), "pos", "uuid", "kind")
+
+
 @query
 def flat_kind_guess(spark, sf):
     return dup.guess_kind(feeds.parse_flat_feed(b.flat_texts(spark, sf))).select("file", "pos", "uuid", "kind")
@@ -198,6 +208,14 @@ def quarantine_false(spark, sf):
     return quality.shifted_rows(b.staged_alerts(spark, sf))
 
 
+@query
+def bbox_clustered(spark, sf):
+    """The same area from a table stored along the curve."""
+    path = f"{shared_folder(spark)}/curve-{uuid.uuid4().hex}"
+    clustering.write_clustered(b.alerts(spark, sf).select("uuid", "location_x", "location_y"), path)
+    return grid.within_bounds(spark.read.parquet(path), -33.3, -33.5, -70.8, -70.5)
+
+
 @query
 def bbox_filter(spark, sf):
     return grid.within_bounds(b.alerts(spark, sf), -33.3, -33.5, -70.8, -70.5).select(
@@ -529,6 +547,28 @@ def latency_percentiles(spark, sf):
     return lookup.latency_percentiles(b.request_log(spark, sf))
 
 
+@query
+def latency_sketches(spark, sf):
+    """Whether quantiles merged from a sketch a day are within the rank error, by all latencies."""
+    log = b.request_log(spark, sf).withColumn("run", F.floor(F.col("segundo") / 86400))
+    merged = sketches.merged_percentiles(sketches.latency_sketches(log))
+    ranked = log.filter(F.col("tiempo_ms").isNotNull()).join(F.broadcast(merged), "resultado")      # a row an outcome
+    error, ms = sketches.KLL_RANK_ERROR, F.col("tiempo_ms")
+
+    def near(q: int):
+        below, upto = (F.count_if(test) / F.count("*") for test in (ms < F.col(f"p{q}"), ms <= F.col(f"p{q}")))
+        return ((below <= q / 100 + error) & (upto >= q / 100 - error)).alias(f"p{q}_near")
+
+    return ranked.groupBy("resultado").agg(F.max("n").alias("n"), *(near(q) for q in (50, 90, 99)))
+
+
+@query
+def run_key_sketches(spark, sf):
+    """Ten files are a run; its sets of keys are below the sketch's size, and so exact."""
+    items = _items(spark, sf).withColumn("run", F.substring("file", 6, 8))
+    return sketches.key_summary(sketches.key_sketches(items))
+
+
 @query
 def ttl_first_seen(spark, sf):
     return suppression.fill_moments(b.events(spark, sf), ["user_id"], "segundo")

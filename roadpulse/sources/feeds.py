@@ -18,13 +18,14 @@ from roadpulse.schemas import (
 
 CORRUPT = "_corrupt_record"
 _FEED_OR_TEXT = T.StructType([*FEED.fields, T.StructField(CORRUPT, T.StringType(), True)])
+_MARK = "\ufeff"                # byte order mark
 _FLAT_START = r"\A\x{FEFF}?\s*\["
 
 
 def _texts(spark: SparkSession, path: str | list[str], file_filter: str) -> DataFrame:
     """Whole files as (`file`, `text`); a file is one JSON value, so one task reads it."""
     return (
-        spark.read.option("wholetext", True).option("pathGlobFilter", file_filter).text(path)
+        spark.read.option("pathGlobFilter", file_filter).text(path, wholetext=True)
         .select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("text"))
     )
 
@@ -35,7 +36,8 @@ def parse_documents(texts: DataFrame, text: str = "text", file: str = "file") ->
     `malformed` says that the text is not JSON. The first sign that is not blank decides the
     shape, so each file is parsed once. Columns: file, file_name, celdas, objetos, malformed.
     """
-    body, flat = F.col(text), F.coalesce(F.col(text).rlike(_FLAT_START), F.lit(False))
+    body = F.when(F.startswith(text, F.lit(_MARK)), F.substr(text, F.lit(2))).otherwise(F.col(text))
+    flat = F.coalesce(F.col(text).rlike(_FLAT_START), F.lit(False))
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     blank = F.coalesce(F.trim(body) == "", F.lit(True))
     return texts.select(

@@ -61,6 +61,15 @@ def test_read_feed_and_quarantine(spark, feed):
     assert items.filter("kind = 'alerta'").count() == 6 and items.select("file", "pos").distinct().count() == 9
 
 
+def test_feed_files_of_several_lines(spark, tmp_path):
+    """A file is one JSON value however it is laid out."""
+    put(tmp_path / "feed", "nested.json", json.dumps({"celdas": [cell([an_alert("a")], [a_jam(1)])]}, indent=2))
+    put(tmp_path / "feed", "flat.json", json.dumps([an_alert("b"), a_jam(2)], indent=2))
+    read = feeds.read_documents(spark, str(tmp_path / "feed"))
+    assert read.count() == 2 and feeds.quarantined_documents(read).isEmpty()
+    assert sorted(r.uuid for r in feeds.mixed_items(read).collect()) == ["1", "2", "a", "b"]
+
+
 def test_flat_feed(spark, tmp_path):
     put(tmp_path / "flat", "l.json", [
         {"uuid": 5, "roadType": 1, "street": "S"}, {"uuid": "u", "subtype": "x", "reportRating": 3}, {"type": "T"}])
