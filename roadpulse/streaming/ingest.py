@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from roadpulse.session import drop_table, materialise
 from roadpulse.sinks.keyed import insert_if_absent, write_batch
 from roadpulse.sources.feeds import (
     good_documents, parse_feed, quarantined_documents, unnest_alerts, unnest_jams,
@@ -36,12 +37,12 @@ def ingest_feed(
     order = ["file", "cell", "pos"]
 
     def store(batch: DataFrame, number: int) -> None:
-        batch.persist()         # read and parsed once for both collections
-        good = good_documents(batch)
+        documents = materialise(batch)      # read and parsed once for both collections
+        good = good_documents(documents)
         insert_if_absent(unnest_alerts(good), alerts_path, ["uuid"], order, number)
         insert_if_absent(unnest_jams(good), jams_path, ["uuid"], order, number)
-        write_batch(quarantined_documents(batch), bad_path, number)
-        batch.unpersist()
+        write_batch(quarantined_documents(documents), bad_path, number)
+        drop_table(documents)
 
     return (
         stream_feed(spark, path, files_per_trigger).writeStream.foreachBatch(store)

@@ -393,6 +393,12 @@ def test_ingest_accounting(spark):
     assert tuple(docs.ingest_totals(again).first()) == (2, 7, 2, 5)
 
 
+def test_ingest_accounting_opens_its_items_once(spark):
+    from roadpulse.plans import queries
+    plan = queries.ingest_accounting(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "Generate" not in plan and "events" not in plan
+
+
 def test_result_documents(spark):
     result = spark.createDataFrame([("A", 5), ("B", 9)], "comuna string, cantidad long")
     got = docs.result_documents("t", result, [F.desc("cantidad")], "2024-01-01T00:00:00").orderBy("fila_numero").collect()

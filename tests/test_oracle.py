@@ -27,6 +27,29 @@ def test_query(spark, con, name):
     assert difference(QUERIES[name](spark, SF_DIR), con, ORACLE[name]) is None
 
 
+# Rankings, with their whole order.
+RANKED = {
+    "peak_hours": "cantidad_alertas DESC, hora", "alerts_by_city": "cantidad_alertas DESC, comuna",
+    "alerts_by_type": "cantidad DESC, tipo_alerta", "alerts_by_street": "cantidad_alertas DESC, calle",
+    "accidents_by_city": "cantidad_accidentes DESC, comuna",
+    "accidents_by_street_city": "cantidad_accidentes DESC, calle, ciudad",
+    "longest_jams": "length DESC, uuid", "jams_by_city": "largo_total DESC, ciudad",
+    "top10_accident_streets": "cantidad_accidentes DESC, calle, ciudad", "top10_alert_streets": "cantidad_alertas DESC, calle",
+    "top5_accident_cities": "cantidad_accidentes DESC, comuna", "top10_alert_cities": "cantidad_alertas DESC, comuna",
+    "type_frequency": "cantidad DESC, tipo_alerta", "top10_jam_length": "largo_total DESC, ciudad",
+    "top10_jam_count": "num_atascos DESC, ciudad", "repeated_keys": "n DESC, uuid", "repeated_alerts": "n DESC, uuid",
+}
+
+
+@pytest.mark.parametrize("name", sorted(RANKED))
+def test_order_of_rankings(spark, con, name):
+    """Row by row, not as bags."""
+    df = QUERIES[name](spark, SF_DIR)
+    columns = ", ".join(f'"{c}"' for c in df.columns)
+    want = con.execute(f"SELECT {columns} FROM ({ORACLE[name]}) ORDER BY {RANKED[name]}").fetchall()
+    assert [tuple(map(str, r)) for r in df.collect()] == [tuple(map(str, r)) for r in want]
+
+
 def test_entry(spark):
     rows = entry_points.entry(spark)
     assert rows.columns == ["comuna", "cantidad_accidentes"] and rows.count() == 5

@@ -9,6 +9,7 @@ from roadpulse.operators import documents, duplicates as dup, incremental
 from roadpulse.operators.suppression import fill_moments
 from roadpulse.plans import jobs
 from roadpulse.schemas import ALERTS, JAMS, RESULT_ORDER
+from roadpulse.session import drop_materialised, drop_table, materialise
 from roadpulse.sinks import buckets, keyed, writers
 from roadpulse.sources import feeds, tables
 from roadpulse.streaming.ingest import ingest_feed, unseen_within
@@ -342,6 +343,18 @@ def test_bucketed_table_is_not_shuffled_again(spark):
         spark.sql("drop table keyed_rows")
 
 
+def test_intermediate_tables_can_be_cleared(spark):
+    kept = materialise(spark.range(5))
+    drop_table(kept)
+    other = materialise(spark.range(7))
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist|PATH_NOT_FOUND"):
+        kept.collect()
+    assert other.count() == 7
+    drop_materialised(spark)
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|does not exist|PATH_NOT_FOUND"):
+        other.collect()
+
+
 # -- streams --------------------------------------------------------------------------------
 
 def test_streamed_ingest_equals_one_batch(spark, feed, tmp_path):
