@@ -32,16 +32,17 @@ def small_batches(docs: DataFrame) -> DataFrame:
     return docs
 
 
-def slices_of(batch: pd.DataFrame, inputs: list[str]) -> Iterator[pd.DataFrame]:
-    """The rows of a batch in order, cut where another `SLICE_CHARS` characters of input are full."""
+def slices_of(batch: pd.DataFrame, inputs: list[str], most: int | None = None) -> Iterator[pd.DataFrame]:
+    """The rows of a batch in order, cut where another `most` (`SLICE_CHARS`) characters of input are full."""
     chars = sum(batch[c].map(lambda v: len(text_of(v))).astype("int64") for c in inputs)
-    return (rows for _, rows in batch.groupby(chars.cumsum() // SLICE_CHARS, sort=False))
+    return (rows for _, rows in batch.groupby(chars.cumsum() // (most or SLICE_CHARS), sort=False))
 
 
-def map_rows(
-    docs: DataFrame, columns: list[str], inputs: list[str], fields: str, function: Callable[..., tuple]
+def map_slices(
+    docs: DataFrame, columns: list[str], inputs: list[str], fields: str,
+    function: Callable[[pd.DataFrame], list[tuple]], most: int | None = None,
 ) -> DataFrame:
-    """`columns` of `docs`, then `fields`, which `function(*inputs)` gives for each row.
+    """`columns` of `docs`, then `fields`, of which `function` gives a row for each row of a slice of `inputs`.
 
     One pass without a shuffle. Rows travel in Arrow batches; only `columns` and `inputs` are read,
     so an input column named like one of `fields` doesn't clash unless it is asked for.
@@ -51,10 +52,17 @@ def map_rows(
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for part in slices_of(batch, inputs):
-                rows = [function(*values) for values in zip(*(part[c] for c in inputs))]
-                out = pd.DataFrame(rows, columns=names, dtype=object, index=part.index)
+            for part in slices_of(batch, inputs, most):
+                out = pd.DataFrame(function(part[inputs]), columns=names, dtype=object, index=part.index)
                 yield pd.concat([part[columns], out], axis=1)
 
     schema = T.StructType([docs.schema[c] for c in columns] + added)
     return small_batches(docs).select(*dict.fromkeys([*columns, *inputs])).mapInPandas(run, schema)
+
+
+def map_rows(
+    docs: DataFrame, columns: list[str], inputs: list[str], fields: str, function: Callable[..., tuple]
+) -> DataFrame:
+    """`map_slices`, where `function(*inputs)` gives the fields of one row."""
+    return map_slices(docs, columns, inputs, fields,
+                      lambda part: [function(*values) for values in zip(*(part[c] for c in inputs))])
