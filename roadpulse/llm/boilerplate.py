@@ -9,15 +9,19 @@ coincide by chance.
 
 Rows: a null text stays null and has no lines; a null site is a site of its own; null doc_ids come last.
 Repeated rows (equal doc_id and text) are treated alike: if the first place is in one, it is in all. A
-document that loses all its lines is dropped; one that loses none is returned as it came.
+document that loses all its lines is dropped; one that loses none is returned as it came. An empty table gives
+an empty one. A column `n_removed` of the input is replaced by the new one; other columns are left as they are.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from roadpulse.llm.text import unused
 from roadpulse.session import materialise
 
+#: White space around a line: blanks, tabs, carriage returns, vertical tabs and form feeds.
+WHITE = " \t\r\v\f"
 SITES = 10
 MIN_CHARS = 20
 #: Sketches have 2^12 registers, so the standard error of an estimate is about 1.6 %. Estimates within
@@ -36,17 +40,21 @@ def key_of(*columns: Column) -> tuple[Column, Column]:
     return F.xxhash64(*columns), F.xxhash64(F.lit("second"), *columns)
 
 
-def with_keys(docs: DataFrame) -> DataFrame:
-    d1, d2 = key_of(F.col("doc_id"), F.col("text"))
-    return docs.withColumns({"__d1": d1, "__d2": d2})
+def bare(line: Column) -> Column:
+    """A line without white space around it: pages with CR LF have the lines of those with LF."""
+    return F.btrim(line, F.lit(WHITE))
+
+
+def with_keys(docs: DataFrame, names: list[str]) -> DataFrame:
+    return docs.withColumns(dict(zip(names, key_of(F.col("doc_id"), F.col("text")))))
 
 
 def lines_of(docs: DataFrame, site: str) -> DataFrame:
     """The lines of all documents that are long enough: document key and id, place, site, line key."""
-    trimmed = F.trim("line")
+    trimmed = bare(F.col("line"))
     h1, h2 = key_of(trimmed)
     return (
-        with_keys(docs.select("doc_id", "text", F.col(site).alias("site")))
+        with_keys(docs.select("doc_id", "text", F.col(site).alias("site")), _DOC)
         .select(*_DOC, "doc_id", F.coalesce(F.col("site").cast("string"), F.lit("\0")).alias("site"),
                 F.posexplode(F.split("text", "\n")).alias("place", "line"))
         .filter(F.length(trimmed) >= MIN_CHARS)
@@ -88,12 +96,13 @@ def removals(docs: DataFrame, site: str = "source", sites: int = SITES) -> DataF
 def remove_boilerplate(docs: DataFrame, site: str = "source", sites: int = SITES) -> DataFrame:
     """`docs` with cross-site lines left only in their first place, and `n_removed`, the lines cut from each."""
     docs = docs.drop("n_removed")
-    kept = F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains("__gone", i))
-    cut = F.col("__gone").isNotNull()
-    gone = materialise(removals(docs, site, sites))
-    places = gone.agg(F.sum(F.size("__gone"))).first()[0] or 0
-    joined = with_keys(docs).join(F.broadcast(gone) if places <= BROADCAST_PLACES else gone, _DOC, "left")
+    *key, place = unused(docs, *_DOC, "__gone")
+    kept = F.filter(F.split("text", "\n"), lambda line, i: ~F.array_contains(place, i))
+    cut = F.col(place).isNotNull()
+    gone = materialise(removals(docs, site, sites)).toDF(*key, place)
+    places = gone.agg(F.sum(F.size(place))).first()[0] or 0
+    joined = with_keys(docs, key).join(F.broadcast(gone) if places <= BROADCAST_PLACES else gone, key, "left")
     return (
         joined.withColumn("text", F.when(cut, F.array_join(kept, "\n")).otherwise(F.col("text")))
-        .filter(~cut | (F.trim(F.translate("text", "\n", " ")) != ""))
-        .select(*docs.columns, F.when(cut, F.size("__gone")).otherwise(0).cast("long").alias("n_removed")))
+        .filter(~cut | (F.btrim("text", F.lit(WHITE + "\n")) != ""))
+        .select(*docs.columns, F.when(cut, F.size(place)).otherwise(0).cast("long").alias("n_removed")))

@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from roadpulse.llm.boilerplate import key_of
-from roadpulse.llm.text import small_batches, text_of
+from roadpulse.llm.text import small_batches, text_of, unused
 from roadpulse.session import materialise
 
 #: A shingle of at least so many documents is frequent, and at most so many are listed.
@@ -559,9 +559,9 @@ def drop_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> Data
     Documents without words stay. Rows equal in doc_id and text are one document: one row of them stays.
     """
     found = near_duplicates(docs, k, percent).filter(F.col("component").isNotNull())
-    key = ["__d1", "__d2"]
+    key = unused(docs, "__d1", "__d2")
     order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "d1", "d2")
-    named = materialise(found.select("component", F.col("d1").alias("__d1"), F.col("d2").alias("__d2"), order.alias("k")))
+    named = materialise(found.select("component", F.col("d1").alias(key[0]), F.col("d2").alias(key[1]), order.alias("k")))
     # Only components and documents of several rows have anything to drop.
     several = named.groupBy("component").agg(F.min("k").alias("first"), F.count("*").alias("m")).filter("m > 1")
     rows = materialise(named.join(several.select("component", "first"), "component"))
@@ -569,7 +569,7 @@ def drop_near_duplicates(docs: DataFrame, k: int = 5, percent: int = 80) -> Data
     again = materialise(rows.filter(F.col("k") == F.col("first")).groupBy(*key).count().filter("count > 1").select(*key))
     d1, d2 = key_of(F.col("doc_id").cast("long"), F.col("text"))
     small = lambda keys: F.broadcast(keys) if keys.count() <= BROADCAST_KEYS else keys
-    kept = docs.withColumns({"__d1": d1, "__d2": d2}).join(small(gone), key, "left_anti")
+    kept = docs.withColumns(dict(zip(key, (d1, d2)))).join(small(gone), key, "left_anti")
     if not again.isEmpty():
         kept = kept.join(small(again), key, "left_anti").unionByName(
             kept.join(small(again), key, "left_semi").dropDuplicates(key))

@@ -175,6 +175,8 @@ FROM ranked WHERE rank <= {most}
 """
 
 
+_WHITE = " || ".join(f"chr({ord(c)})" for c in boilerplate.WHITE)
+
 ORACLE = {
     "op11_slice_codes": _code_sql(),
     "op12_stripe_phrases": _phrase_sql(),
@@ -194,7 +196,7 @@ WITH line AS (
   SELECT doc_id, source, unnest(string_split(text, chr(10))) AS line,
          unnest(range(len(string_split(text, chr(10))))) AS place
   FROM documents),
-long AS (SELECT *, trim(line, ' ') AS k FROM line WHERE length(trim(line, ' ')) >= {boilerplate.MIN_CHARS}),
+long AS (SELECT *, trim(line, {_WHITE}) AS k FROM line WHERE length(trim(line, {_WHITE})) >= {boilerplate.MIN_CHARS}),
 common AS (
   SELECT k, min(struct_pack(doc_id := doc_id, place := place)) AS first
   FROM long GROUP BY k HAVING count(DISTINCT coalesce(source, chr(0))) >= {boilerplate.SITES}),
@@ -207,7 +209,7 @@ cut AS (
   FROM line LEFT JOIN gone ON line.doc_id = gone.doc_id AND line.place = gone.place GROUP BY line.doc_id)
 SELECT d.doc_id, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(cut.text, d.text)) AS text_sha256
 FROM documents d LEFT JOIN cut USING (doc_id)
-WHERE coalesce(n_removed, 0) = 0 OR trim(replace(cut.text, chr(10), ' '), ' ') <> ''
+WHERE coalesce(n_removed, 0) = 0 OR trim(cut.text, {_WHITE} || chr(10)) <> ''
 """,
     "op6_warc_normalise": f"""
 WITH page AS (

@@ -66,3 +66,14 @@ def map_rows(
     """`map_slices`, where `function(*inputs)` gives the fields of one row."""
     return map_slices(docs, columns, inputs, fields,
                       lambda part: [function(*values) for values in zip(*(part[c] for c in inputs))])
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores before it as keep it from clashing with a column of `df`."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        out.append(name)
+    return out

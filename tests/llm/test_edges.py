@@ -59,6 +59,26 @@ def test_lines(spark, docs, none):
     assert got == [("1", f"{line}\nown", 0), ("2", "other", 2), ("4", "own", 0), ("None", "x", 1)]
 
 
+def test_lines_with_other_white_space_around_them_are_the_same(spark):
+    line = "a line that three of the sites have in common"
+    rows = [(n, f"{line}{end}\nown {n}", f"s{n}") for n, end in enumerate(["\r", "", " \t", "\v\f"])]
+    rows.append((9, f"\t{line}\r\n \f\r\n", "s9"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r["doc_id"]: (r["text"], r["n_removed"]) for r in boilerplate.remove_boilerplate(docs, sites=3).collect()}
+    assert got == {0: (rows[0][1], 0), **{n: (f"own {n}", 1) for n in (1, 2, 3)}}
+
+
+def test_columns_that_clash_with_inner_ones_stay(spark):
+    names = ["__gone", "__d1", "__D2", "___gone"]
+    text = "words " * 30
+    rows = [(n, text if n < 2 else f"{text}\n{'a line that all of the sites have'}", f"s{n}", *"abcd") for n in range(12)]
+    docs = spark.createDataFrame(rows, ", ".join(["doc_id long, text string, source string", *(f"{c} string" for c in names)]))
+    bench = spark.createDataFrame([(1, "not one of them " * 5)], "item_id long, text string")
+    for out in (boilerplate.remove_boilerplate(docs), contamination.remove_contaminated(docs, bench), jaccard.drop_near_duplicates(docs)):
+        assert out.columns[:7] == docs.columns
+        assert {tuple(r)[3:7] for r in out.collect()} == {tuple("abcd")}
+
+
 def test_lines_near_and_above_the_threshold(spark, monkeypatch):
     """Estimates far above the threshold aren't counted again; those near it are, and decide."""
     rows = [(i, f"{'a line of thirty sites or so'}\n{'a line of exactly nine sites' if i < 9 else 'another line of ten or more'}", f"s{i}")
