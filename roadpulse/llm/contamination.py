@@ -3,13 +3,15 @@
 Words are lower-cased and stripped of marks at their ends. A seed is a window of `SPAN` words of which a
 mask selects some; the selected words are hashed. Documents and benchmark items that have an equal
 seed under the same mask are laid over each other at that place, and the item's words are compared one
-by one with the document's words there, over a stretch of `STRETCH` words around the seed. A document is
-contaminated if, in such a stretch, at least `OVERLAP` of the words are equal: up to a fifth may be
-replaced, wherever they are. Items of fewer than `SPAN` words have no seeds; a document is contaminated by
-them if all their words stand there one after another.
-
-Rows: null texts have no words; repeated documents are judged alike; equal items count as one; with an
-empty benchmark nothing is contaminated. Documents are identified by a key of doc_id and text.
+by one with the document's words there. A document is contaminated if in some stretch of `STRETCH` of the item's
+words that has the seed in it (or in the whole item, if it is shorter) at least `OVERLAP` of the words are equal:
+up to a fifth may be replaced, wherever they are. Items of fewer than `SPAN` words have no seeds; a document is
+contaminated by them if all their words stand there one after another.
+
+Rows: null texts have no words; repeated documents are judged alike; an empty table of either kind gives no
+rows. Documents are identified by a key of doc_id and text, items by their words: items with equal words count
+as one, with the least id; an id may be null, and texts that share one are items of their own, with a row each.
+Columns of the input are left as they are, whatever their names.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from roadpulse.llm.boilerplate import key_of
+from roadpulse.llm.text import unused
 from roadpulse.session import materialise
 
 #: Three masks over ten words, six selected: what one replaced word spoils for a mask another may ignore.
@@ -87,11 +90,13 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     These are the equal words of the best stretch, and its length.
     """
+    i1, i2 = key_of(F.col("hashes"))
+    own = ["__i1", "__i2"]
     every = materialise(
         benchmark.select("item_id", hashes_of(F.col("text")).alias("hashes")).filter(F.size("hashes") > 0)
-        .groupBy("hashes").agg(F.min("item_id").alias("item_id")))
+        .groupBy("hashes").agg(F.min("item_id").alias("item_id")).withColumns({"__i1": i1, "__i2": i2}))
     items = every.filter(F.size("hashes") >= SPAN)
-    theirs = materialise(seeds_of(items, ["item_id"]).select("seed", "item_id", F.col("place").alias("item_place")))
+    theirs = materialise(seeds_of(items, own).select("seed", *own, F.col("place").alias("item_place")))
     small = theirs.count() <= BROADCAST_SEEDS
     d1, d2 = key_of(F.col("doc_id"), F.col("text"))
     ours = docs.select(d1.alias("__d1"), d2.alias("__d2"), "doc_id", hashes_of(F.col("text")).alias("hashes"))
@@ -103,26 +108,37 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         hits = (seeds_of(ours, key).join(theirs, "seed").drop("seed", "doc_id").distinct()
                 .join(ours, ["__d1", "__d2"]))
     left = F.greatest(F.lit(0), F.col("place") - STRETCH)
-    hits = hits.select(*key, "item_id", "item_place", "place", F.slice("hashes", left + 1, 2 * STRETCH).alias("around"))
-    items = items.select("item_id", F.col("hashes").alias("__item"))
+    hits = hits.select(*key, *own, "item_place", "place", F.slice("hashes", left + 1, 2 * STRETCH).alias("around"))
+    items = items.select(*own, "item_id", F.col("hashes").alias("__item"))
     stretch = F.least(F.size("__item"), F.lit(STRETCH))
-    margin = (STRETCH - SPAN) // 2
-    begin = F.greatest(F.lit(0), F.least(F.col("item_place") - margin, F.size("__item") - stretch))
+    # The words of all stretches that have the seed in them, and what lies opposite in the document.
+    begin = F.greatest(F.lit(0), F.col("item_place") + SPAN - stretch)
+    end = F.least(F.size("__item"), F.col("item_place") + stretch)
     opposite = F.col("place") - F.col("item_place") + begin
-    lost = F.greatest(F.lit(0), -opposite)     # words of the stretch that lie before the document
-    here = F.slice("around", opposite + lost - left + 1, stretch - lost)
-    there = F.slice("__item", begin + lost + 1, stretch - lost)
-    same = F.size(F.filter(F.zip_with(here, there, lambda a, b: a.eqNullSafe(b)), lambda x: x))
+    lost = F.greatest(F.lit(0), -opposite)     # words that lie before the document
+    here = F.slice("around", opposite + lost - left + 1, end - begin - lost)
+    there = F.slice("__item", begin + lost + 1, end - begin - lost)
+    same = F.concat(F.array_repeat(F.lit(False), lost), F.zip_with(here, there, lambda a, b: a.eqNullSafe(b)))
+    enough = F.ceil(F.lit(OVERLAP) * F.col("of"))
+
+    def equal(words: Column) -> Column:
+        return F.size(F.filter(words, lambda x: x))
+
+    best = F.array_max(F.transform(F.sequence(F.lit(1), F.size("same") - F.col("of") + 1),
+                                   lambda i: equal(F.slice("same", i, F.col("of")))))
     found = (
-        hits.join(F.broadcast(items) if small else items, "item_id")
-        .select(*key, "item_id", same.alias("n_equal"), stretch.alias("of"))
-        .filter(F.col("n_equal") >= F.ceil(F.lit(OVERLAP) * F.col("of")))
-        .groupBy(*key, "item_id").agg(F.max("n_equal").cast("long").alias("n_equal"), F.max("of").cast("long").alias("of")))
+        hits.join(F.broadcast(items) if small else items, own)
+        .select(*key, *own, "item_id", same.alias("same"), stretch.alias("of"))
+        .filter(equal(F.col("same")) >= enough)
+        .select(*key, *own, "item_id", best.alias("n_equal"), "of").filter(F.col("n_equal") >= enough)
+        .groupBy(*key, *own).agg(F.min("item_id").alias("item_id"), F.max("n_equal").cast("long").alias("n_equal"),
+                                 F.max("of").cast("long").alias("of")).drop(*own))
     return found if short is None else found.unionByName(short)
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without an overlap, as they came."""
-    found = materialise(overlaps(docs, benchmark).select("__d1", "__d2").distinct())
+    key = unused(docs, "__d1", "__d2")
+    found = materialise(overlaps(docs, benchmark).select("__d1", "__d2").distinct()).toDF(*key)
     d1, d2 = key_of(F.col("doc_id"), F.col("text"))
-    return docs.withColumns({"__d1": d1, "__d2": d2}).join(found, ["__d1", "__d2"], "left_anti").select(*docs.columns)
+    return docs.withColumns(dict(zip(key, (d1, d2)))).join(found, key, "left_anti").select(*docs.columns)
