@@ -15,7 +15,7 @@ finds. Repeated rows get equal results.
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 from hashlib import sha256
 
@@ -240,18 +240,18 @@ def normalise(text: str) -> Rewritten | None:
 
 
 def find_disguised(text: str, plain: list[Span]) -> list[Span]:
-    """Finds that only the rewritten text shows, as spans of the source."""
+    """Finds that only the rewritten text shows, as spans of the source; none that lies within a plain one."""
     out = normalise(text)
     if out is None:
         return []
-    taken = sorted((s, e) for _, s, e in plain)
+    taken = {kind: sorted((s, e) for k, s, e in plain if k == kind) for kind in KINDS}   # of a kind none overlap
     found = []
     for kind, a, b in find_plain(out.text):
         if not out.rewritten(a, b):
             continue
         s, e = out.source(a, b)
-        i = bisect_left(taken, (e, 0))
-        if not any(x < e and s < y for x, y in taken[max(0, i - 4):i]):
+        last = (spans[i - 1] for spans in taken.values() if (i := bisect_right(spans, (s, len(text)))))
+        if not any(e <= end for _, end in last):
             found.append((kind, s, e))
     return found
 
