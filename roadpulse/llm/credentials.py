@@ -16,6 +16,7 @@ stay apart. Offsets are code points, ends exclusive. A null text counts as empty
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
@@ -23,6 +24,8 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F
 from roadpulse.session import materialise
 
 REACH = 200
+#: Matches of a text whose places are summed together.
+BLOCK = 256
 #: Kinds in the order in which they are listed where starts are equal; the first three are plain.
 KINDS = ("assign", "access", "hex", "identifier", "secret", "endpoint")
 ROLES = {"access": "identifier", "assign": "secret", "hex": "secret"}
@@ -49,30 +52,47 @@ ENDPOINT = (r"""(?i)(?<![a-z0-9+.-])[a-z][a-z0-9+.-]*://[^\s"'<>]+"""
 def spans(text: Column, kind: str, pattern: str, min_value: int = 0) -> Column:
     """Leftmost matches that don't overlap, as an array of (start, order, end).
 
-    What lies between the matches, and their lengths, give the starts. Texts without a match, nearly
-    all of them, take one search. With `min_value` matches with a shorter first group are dropped
-    after the search, so that they aren't tried again from a later start.
+    What lies between the matches, and their lengths, give the starts: sums that run within blocks of `BLOCK`
+    matches and over the blocks, so that no array grows by copies with the number of matches. Texts
+    without a match, nearly all of them, take one search. With `min_value` matches with a shorter first
+    group are dropped after the search, so that they aren't tried again from a later start.
     """
     gaps = F.split(text, pattern, -1)
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     value = F.regexp_extract_all(text, F.lit(pattern), F.lit(1)) if min_value else whole
-    order = F.lit(KINDS.index(kind))
+    matches = F.arrays_zip(F.slice(gaps, 1, F.size(whole)).alias("gap"), whole.alias("whole"), value.alias("value"))
+    sizes = F.transform(matches, lambda m: F.struct(
+        F.length(m["gap"]).alias("gap"), F.length(m["whole"]).alias("whole"), (F.length(m["value"]) >= min_value).alias("good")))
+    none = F.lit([]).cast("array<struct<start:int,kind:int,end:int>>")
 
-    def step(state: Column, match: Column) -> Column:
-        start = state["at"] + F.length(match["gap"])
-        end = start + F.length(match["whole"])
-        return F.struct(end.alias("at"), F.concat(state["out"], F.array(F.struct(
-            start.alias("start"), order.alias("kind"), end.alias("end"),
-            (F.length(match["value"]) >= min_value).alias("good")))).alias("out"))
+    def inside(block: Column, start: Column) -> Column:
+        """The good matches of a block that begins at a place."""
+        def step(state: Column, m: Column) -> Column:
+            here = state["at"] + m["gap"]
+            end = here + m["whole"]
+            found = F.array(F.struct(here.alias("start"), F.lit(KINDS.index(kind)).alias("kind"), end.alias("end")))
+            return F.struct(end.alias("at"), F.when(m["good"], F.concat(state["out"], found)).otherwise(state["out"]).alias("out"))
 
-    zero = F.struct(F.lit(0).alias("at"), F.lit([]).cast(
-        "array<struct<start:int,kind:int,end:int,good:boolean>>").alias("out"))
-    matches = F.arrays_zip(F.slice(gaps, 1, F.size(whole)).alias("gap"), whole.alias("whole"), value.alias("value"))
-    found = F.aggregate(matches, zero, step)["out"]
-    kept = F.transform(F.filter(found, lambda s: s["good"]),
-                       lambda s: F.struct(s["start"].alias("start"), s["kind"].alias("kind"), s["end"].alias("end")))
-    return F.when(text.rlike(pattern), kept).otherwise(
-        F.lit([]).cast("array<struct<start:int,kind:int,end:int>>"))
+        return F.aggregate(block, F.struct(start.alias("at"), none.alias("out")), step)["out"]
+
+    def onward(state: Column, block: Column) -> Column:
+        length = F.aggregate(block, F.lit(0), lambda sum_, m: sum_ + m["gap"] + m["whole"])
+        return F.struct((state["at"] + length).alias("at"), F.concat(state["out"], F.array(state["at"])).alias("out"))
+
+    def in_blocks(sizes: Column) -> Column:
+        last = F.floor((F.size(sizes) - 1) / BLOCK).cast("int")
+        return F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(sizes, i * BLOCK + 1, F.lit(BLOCK)))
+
+    def summed(blocks: Column) -> Column:
+        zero = F.struct(F.lit(0).alias("at"), F.lit([]).cast("array<int>").alias("out"))
+        return F.flatten(F.zip_with(blocks, F.aggregate(blocks, zero, onward)["out"], inside))
+
+    return F.when(text.rlike(pattern), once(sizes, lambda s: once(in_blocks(s), summed))).otherwise(none)
+
+
+def once(value: Column, function: Callable[[Column], Column]) -> Column:
+    """`function` of a value that is computed a single time, however often the function uses it."""
+    return F.element_at(F.transform(F.array(value), function), 1)
 
 
 def spelled(parts: Column) -> Column:
@@ -103,8 +123,11 @@ def link(parts: DataFrame) -> DataFrame:
     several = reduce(lambda a, b: a + b, (
         F.exists(every, lambda s: is_a(role, s["kind"])).cast("int") for role in KINDS[3:])) > 1
     rows = parts.filter((F.size("__weak") > 0) & several).select("__id", F.explode(every).alias("p"))
-    order = W.partitionBy("__id").orderBy("p.start", "p.kind", "p.end")
-    before, after = order.rowsBetween(W.unboundedPreceding, -1), order.rowsBetween(1, W.unboundedFollowing)
+    # What comes after a part is what comes before it in reverse: frames that grow are summed as they go,
+    # frames that shrink would be summed anew for each row.
+    place = ("p.start", "p.kind", "p.end")
+    before, after = (W.partitionBy("__id").orderBy(*order).rowsBetween(W.unboundedPreceding, -1)
+                     for order in (place, map(F.desc, place)))
 
     def near(condition: Column, reach: int) -> Column:
         """Whether a part that meets the condition lies at most `reach` away; -1 is for overlaps."""
