@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import heapq
 import re
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from functools import cache
 from hashlib import sha256
 from itertools import chain, count
@@ -48,8 +48,9 @@ TOGETHER = 1 << 12
 #: Longer parts aren't remembered: they hardly repeat.
 LONG = 40
 ENCODED = "n_pieces long, ids array<int>"
-SEGMENTED = "n_pieces long, score long, ids_sha256 string, nbest_scores string, nbest_pieces string, round_trip boolean"
-TOKENS = "n_pieces long, ids array<int>, score long, nbest_scores string, nbest_pieces string, round_trip boolean"
+_NBEST = "nbest_scores string, nbest_pieces string, round_trip boolean, nbest_sha256 string"
+SEGMENTED = "n_pieces long, score long, ids_sha256 string, " + _NBEST
+TOKENS = "n_pieces long, ids array<int>, score long, " + _NBEST
 Path = tuple[int, tuple[int, ...]]
 _NONE = -(1 << 60)
 
@@ -152,11 +153,14 @@ class Vocabulary:
         self.longest = max(map(len, pieces))
         self.parts = _divisions(list(pieces)).findall
         # Bytes beyond ASCII decode as escapes, which whole characters then replace.
-        self.shown = {i: p.replace(SPACE, " ") for p, i in pieces.items()}
-        self.shown |= {i: chr(b if b < 128 else 0xDC00 + b) for b, i in self.byte_id.items()}
+        self.shown = np.full(size, "", dtype=object)
+        for piece, i in pieces.items():
+            self.shown[i] = piece.replace(SPACE, " ")
+        for b, i in self.byte_id.items():
+            self.shown[i] = chr(b if b < 128 else 0xDC00 + b)
         self.young: dict[str, tuple] = {}
         self.old: dict[str, tuple] = {}
-        self.decoded: tuple[dict[str, tuple], dict[str, tuple]] = {}, {}
+        self.distinct: tuple[dict[str, tuple], dict[str, tuple]] = {}, {}
         self.paths: dict[tuple[str, int], list[Path]] = {}
 
     def _bytes(self, character: str) -> Path:
@@ -302,9 +306,9 @@ class Vocabulary:
             self.young[part] = entry
         return entry
 
-    def _known_all(self, parts: list[str]) -> list[tuple[int, tuple[int, ...], float, bool]]:
-        """The entries of distinct parts and whether their ids decode to them; new ones are solved together."""
-        young, old = self.decoded
+    def _known_all(self, parts: list[str]) -> list[tuple[int, tuple[int, ...], float]]:
+        """The entries of distinct parts; new ones are solved together."""
+        young, old = self.distinct
         entries = list(map(young.get, parts))
         new = []
         for i in [i for i, e in enumerate(entries) if e is None]:
@@ -315,15 +319,13 @@ class Vocabulary:
                 if 1 < len(part) <= LONG and part != SPACE:
                     new.append(i)
                 else:
-                    entry = self.best(part)
-                    entries[i] = *entry, self.shown_as(entry[1]) == part
+                    entries[i] = self.best(part)
         for at in range(0, len(new), TOGETHER):
             some = new[at:at + TOGETHER]
             for i, entry in zip(some, self.best_of_all([parts[i] for i in some])):
-                part = parts[i]
-                entries[i] = young[part] = *entry, self.shown_as(entry[1]) == part
+                entries[i] = young[parts[i]] = entry
         if len(young) >= self.remembered:
-            self.decoded = {}, young
+            self.distinct = {}, young
         return entries
 
     def _searched(self, part: str, n: int) -> list[Path]:
@@ -343,11 +345,11 @@ class Vocabulary:
     def encode(self, text: str) -> list[int]:
         return list(chain.from_iterable([e[1] for e in self._solve(text)[1]]))
 
-    def shown_as(self, ids: Iterable[int]) -> str:
-        text = "".join([self.shown[i] for i in ids])
+    def shown_as(self, ids: Sequence[int] | np.ndarray) -> str:
+        text = "".join(self.shown[np.asarray(ids, dtype=np.int64)].tolist())
         return text if text.isascii() else text.encode("utf-8", "surrogateescape").decode("utf-8")
 
-    def decode(self, ids: Iterable[int]) -> str:
+    def decode(self, ids: Sequence[int] | np.ndarray) -> str:
         return self.shown_as(ids)[1:]
 
     def _ways(self, parts: list[str], entries: list[tuple], n: int) -> list[tuple[int, dict[int, tuple]]]:
@@ -370,13 +372,12 @@ class Vocabulary:
         return [(total - lost, tuple(chain.from_iterable(way.get(place.get(i), e[1]) for i, e in enumerate(solved))))
                 for lost, way in ways]
 
-    def segment_all(self, texts: list[str], n: int = BEST) -> Iterator[tuple[np.ndarray, int, str, str, bool]]:
-        """For each text the ids and score of its best segmentation, the scores and numbers of pieces of the n best,
-        and whether all of them decode to the text.
+    def segment_all(self, texts: list[str], n: int = BEST) -> Iterator[tuple[list[np.ndarray], list[int], bool]]:
+        """For each text the ids and the scores of its n best segmentations, best first, and whether every one of
+        them, decoded as a whole, is the text.
 
-        Words repeat: each distinct part of the texts is solved and decoded once, and the rest are gathers by its
-        number. Segmentations differ in whole parts and a part decodes by itself, so a text comes back
-        if each of its parts does, as the best has it and as alternatives have it.
+        Words repeat: each distinct part of the texts is solved once, and the best segmentations are gathers by its
+        number. The others have the ids of some parts replaced.
         """
         found = [self.parts(" " + t) if t else [] for t in texts]
         flat = np.empty(sum(map(len, found)), dtype=object)
@@ -385,26 +386,28 @@ class Vocabulary:
         entries = self._known_all(distinct.tolist())
         score = np.array([e[0] for e in entries], dtype=np.int64)
         cost = np.array([e[2] for e in entries], dtype=np.float64)
-        back = np.array([e[3] for e in entries], dtype=bool)
         sizes = np.array([len(e[1]) for e in entries], dtype=np.int64)
         ids = np.fromiter(chain.from_iterable([e[1] for e in entries]), dtype=np.int32, count=int(sizes.sum()))
         starts = np.cumsum(sizes) - sizes
         at = 0
-        for parts in found:
+        for text, parts in zip(texts, found):
             own = codes[at:at + len(parts)]
             at += len(parts)
             lengths = sizes[own]
             ends = np.cumsum(lengths)
-            places = np.arange(int(lengths.sum())) + np.repeat(starts[own] - (ends - lengths), lengths)
+            best = ids[np.arange(int(lengths.sum())) + np.repeat(starts[own] - (ends - lengths), lengths)]
             some = _cheapest(cost[own], n)
             ways = self._ways([parts[i] for i in some], [entries[own[i]] for i in some], n)
-            total, count = int(score[own].sum()), len(places)
-            whole, losses, counts = bool(back[own].all()), [], []
+            total, paths, scores = int(score[own].sum()), [], []
             for lost, way in ways:
-                losses.append(str(total - lost))
-                counts.append(str(count + sum(len(new) - int(lengths[some[i]]) for i, new in way.items())))
-                whole = whole and all(self.shown_as(new) == parts[some[i]] for i, new in way.items())
-            yield ids[places], total, ",".join(losses), ",".join(counts), whole
+                path, done = [], 0
+                for i, new in sorted(way.items()):
+                    end = int(ends[some[i]])
+                    path += [best[done:end - int(lengths[some[i]])], np.array(new, dtype=np.int32)]
+                    done = end
+                paths.append(np.concatenate([*path, best[done:]]) if path else best)
+                scores.append(total - lost)
+            yield paths, scores, all(self.decode(path) == text for path in paths)
 
 
 def _cheapest(cost: np.ndarray, n: int) -> list[int]:
@@ -432,24 +435,30 @@ def encode(docs: DataFrame, columns: list[str], model: str = MODEL) -> DataFrame
     return map_rows(docs, columns, ["text"], ENCODED, _encoded(model))
 
 
-def _segmented(model: str, n: int, remembered: int) -> Callable[[pd.DataFrame], Iterator[tuple[np.ndarray, int, str, str, bool]]]:
-    def run(rows: pd.DataFrame) -> Iterator[tuple[np.ndarray, int, str, str, bool]]:
-        return vocabulary(model, remembered).segment_all([text_of(t) for t in rows["text"]], n)
-    return run
+def _digest(ids: np.ndarray) -> str:
+    return sha256(ids.tobytes()).hexdigest()
+
+
+def _segmented(model: str, n: int, remembered: int, rows: pd.DataFrame) -> Iterator[tuple]:
+    """For each text the ids and score of its best segmentation, then what all n best are told by."""
+    texts = [text_of(t) for t in rows["text"]]
+    for paths, scores, whole in vocabulary(model, remembered).segment_all(texts, n):
+        yield (paths[0], scores[0], ",".join(map(str, scores)), ",".join(str(len(p)) for p in paths), whole,
+               ",".join(map(_digest, paths)))
 
 
 def segment(docs: DataFrame, columns: list[str], n: int = BEST, model: str = MODEL) -> DataFrame:
     """`columns` of `docs` and a digest of the n best segmentations.
 
-    These are the best one's number of pieces, score and SHA-256 (of its ids as 32-bit integers), all scores and numbers of pieces, and whether every one of them decodes to the text.
+    These are the best one's number of pieces, score and SHA-256 (of its ids as 32-bit integers), all scores and numbers
+    of pieces, whether every one of them decodes to the text, and the SHA-256 of each.
     """
-    found = _segmented(model, n, REMEMBERED_FOR_DIGESTS)
     return map_slices(docs, columns, ["text"], SEGMENTED, lambda rows: [
-        (len(ids), score, sha256(ids.tobytes()).hexdigest(), *rest) for ids, score, *rest in found(rows)], SLICE_FOR_DIGESTS)
+        (len(ids), score, _digest(ids), *rest)
+        for ids, score, *rest in _segmented(model, n, REMEMBERED_FOR_DIGESTS, rows)], SLICE_FOR_DIGESTS)
 
 
 def tokens(docs: DataFrame, columns: list[str], n: int = BEST, model: str = MODEL) -> DataFrame:
     """What `segment` gives, with the ids of the best segmentation instead of their digest."""
-    found = _segmented(model, n, REMEMBERED)
     return map_slices(docs, columns, ["text"], TOKENS, lambda rows: [
-        (len(ids), ids, *rest) for ids, *rest in found(rows)], SLICE)
+        (len(ids), ids, *rest) for ids, *rest in _segmented(model, n, REMEMBERED, rows)], SLICE)

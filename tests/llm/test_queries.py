@@ -398,6 +398,27 @@ def test_op5(spark, texts):
         assert scores == sorted(scores, reverse=True) and scores[0] == found[i]["score"]
 
 
+@pytest.mark.parametrize("n", [1, 4, 7])
+def test_op5_builds_and_decodes_every_segmentation(spark, monkeypatch, n):
+    """Whole segmentations as one search gives them; none counts as decoded because its parts once were."""
+    known = pieces.vocabulary(pieces.MODEL)
+    texts = ["Hello world", "the theme of the theme", "naïve.\nx in▁on", "", " ", "a  b"]
+    every = [known.segment(t, n) for t in texts]
+    for text, want, (paths, scores, whole) in zip(texts, every, known.segment_all(texts, n), strict=True):
+        assert [(s, tuple(p.tolist())) for s, p in zip(scores, paths, strict=True)] == want and whole
+        assert all(known.decode(p.tolist()) == text for p in paths)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    for row in pieces.segment(docs, ["doc_id"], n).collect():
+        assert row["nbest_sha256"].split(",") == [
+            hashlib.sha256(np.array(ids, dtype=np.int32).tobytes()).hexdigest() for _, ids in every[row["doc_id"]]]
+    last = every[0][-1][1]
+    spoilt = next(i for i in reversed(last) if n == 1 or i not in every[0][0][1])
+    wrong = known.shown.copy()
+    wrong[spoilt] = "?"
+    monkeypatch.setattr(known, "shown", wrong)
+    assert [whole for _, _, whole in known.segment_all(["Hello world", "x"], n)] == [False, True]
+
+
 def components_of(sets, percent):
     lead = {i: i for i in sets}
 
