@@ -22,7 +22,8 @@ from roadpulse.schemas import FLAT_OBJECT
 from roadpulse.session import materialise
 
 RANGE_BYTES = 32 << 20
-MOST_TASKS = 1 << 15            # of one pass; beyond it a task takes several ranges, one after another
+MOST_TASKS = 1 << 15            # of one pass, which takes 32 MB or several ranges to a task, one after another
+_TASKS_A_CORE = 4               # at least, as long as there are as many ranges
 _STEP = 1 << 20                 # bytes read at a time past the end of a range
 _OPEN, _CLOSE, _COMMA = 1, -1, 2
 _KIND = np.zeros(256, dtype=np.int8)
@@ -104,13 +105,16 @@ def _change(data: bytes, escaped: bool) -> tuple:
 
 
 def _changes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    columns = re.findall(r"(?:^|, )(\w+) ", _CHANGES)
     for batch in batches:
+        out = []
         for row in batch.itertuples(index=False):
             with _open(row.file) as file:
                 data = file.read_at(row.stop - row.start, row.start)
                 is_list = row.start > 0 or file.read_at(min(row.size, _STEP), 0).lstrip(_BLANK)[:1] == b"["
-                yield pd.DataFrame([(*row, is_list, *_change(data, _is_escaped(file, row.start)))],
-                                   columns=re.findall(r"(?:^|, )(\w+) ", _CHANGES))
+                out.append((*row, is_list, *_change(data, _is_escaped(file, row.start))))
+        if out:
+            yield pd.DataFrame(out, columns=columns)
 
 
 def _states(rows: pd.DataFrame) -> pd.DataFrame:
@@ -169,10 +173,10 @@ def _objects_in(file, row) -> Iterator[tuple[int, str]]:
 
 
 def _objects(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    held, chars = [], 0
     for batch in batches:
         for row in batch.itertuples(index=False):
             with _open(row.file) as file:
-                held, chars = [], 0
                 for pos, text in _objects_in(file, row):
                     if text:
                         held.append((row.file, pos, text))
@@ -180,8 +184,8 @@ def _objects(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     if chars > _STEP:
                         yield pd.DataFrame(held, columns=["file", "pos", "o"])
                         held, chars = [], 0
-                if held:
-                    yield pd.DataFrame(held, columns=["file", "pos", "o"])
+    if held:
+        yield pd.DataFrame(held, columns=["file", "pos", "o"])
 
 
 def flat_ranges(
@@ -202,8 +206,11 @@ def flat_ranges(
 
 
 def _dealt(ranges: DataFrame) -> DataFrame:
-    """A range a task: rows this small would be put together again if Spark chose the number of tasks."""
-    return ranges.repartition(max(1, min(ranges.count(), MOST_TASKS)))
+    """Ranges dealt to tasks by their bytes: of rows this small Spark would make one task, and a task for each short
+    range costs more than its work."""
+    n, size = ranges.agg(F.count("*"), F.coalesce(F.sum(F.col("stop") - F.col("start")), F.lit(0))).first()
+    least = _TASKS_A_CORE * ranges.sparkSession.sparkContext.defaultParallelism
+    return ranges.repartition(max(1, min(n, max(-(-size // RANGE_BYTES), least), MOST_TASKS)))
 
 
 def unusable_flat_files(ranges: DataFrame) -> DataFrame:

@@ -158,3 +158,18 @@ def test_the_curve_keeps_neighbours_together(spark):
     rows = spark.createDataFrame([(-71.0, -33.2), (-200.0, 90.0), (None, -33.3), (200.0, -90.0)], "x double, y double")
     got = [r[0] for r in rows.select(place).collect()]
     assert got[0] == got[1] == 0 and got[2] is None and got[3] == 2 ** 32 - 1
+
+
+def test_short_ranges_share_tasks_and_long_ones_have_their_own(spark, tmp_path, monkeypatch):
+    """The number of tasks follows the bytes, not the number of ranges."""
+    for n in range(4):
+        (tmp_path / f"{n}.json").write_text(json.dumps([{"uuid": f"u{i}", "street": "x" * 90} for i in range(400)]))
+    found = ranges.flat_ranges(spark, str(tmp_path), range_bytes=100)
+    least = ranges._TASKS_A_CORE * spark.sparkContext.defaultParallelism
+    assert found.count() > 10 * least
+    objects = ranges.read_flat_ranges(found)
+    assert objects.rdd.getNumPartitions() == least
+    rows = [(r.file[-6:], r.pos, json.loads(r.o)["uuid"]) for r in objects.collect()]
+    assert sorted(rows) == sorted((f"{n}.json", i, f"u{i}") for n in range(4) for i in range(400))
+    monkeypatch.setattr(ranges, "RANGE_BYTES", 100)
+    assert ranges._dealt(found).rdd.getNumPartitions() == found.count()
