@@ -454,7 +454,7 @@ def _results(spark, sf):
     """All result tables over written clean tables, as the daily job computes them."""
     alerts, jams = materialise(b.alerts(spark, sf)), materialise(b.jams(spark, sf))
     cube = materialise(rollups.alert_cube(alerts))
-    return rollups.result_tables(alerts, jams, b.staged_alerts(spark, sf), cube)
+    return rollups.result_tables(alerts, jams, b.staged_alerts(spark, sf), cube, ordered=False)
 
 
 @query

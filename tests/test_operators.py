@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from roadpulse.functions import draws as random_draws
 from roadpulse.operators import (
@@ -399,6 +399,30 @@ def test_ingest_accounting_opens_its_items_once(spark):
     assert "SortAggregate" not in plan and "Generate" not in plan and "events" not in plan
 
 
+def test_number_within_few_takes_one_shuffle(spark):
+    """Keys that go on over partitions, a null key and nulls among the values, as `row_number` has them."""
+    rows = [((None, "a", "b", "b")[i % 4], None if i % 17 == 0 else i * 7919 % 1000, i) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k string, v long, id long").repartition(7)
+    numbered = numbering.number_within_few(df, "k", [F.bitwise_not("v"), "id"], "n")
+    got = {(r.id, r.n) for r in numbered.collect()}
+    place = Window.partitionBy("k").orderBy(F.bitwise_not("v"), "id")
+    assert got == {(r.id, r.n) for r in df.withColumn("n", F.row_number().over(place)).collect()}
+
+
+def test_numbered_documents_shuffle_their_rows_once(spark, monkeypatch):
+    results = {"t": spark.range(50).selectExpr("id % 7 as c", "cast(id as string) as u", "cast(null as int) as z"),
+               "s": spark.range(3).selectExpr("nullif(id, 1) as c", "'x' as u")}
+    orders = {"t": [("c", False), ("u", True)], "s": [("c", False)]}
+    sources = []
+    whole = numbering.materialise
+    monkeypatch.setattr(numbering, "materialise", lambda df: (sources.append(df.columns), whole(df))[1])
+    found = docs.numbered_documents(results, orders, "now")
+    assert sources == [["__name", "t", "s", "__stamp"]]
+    want = [r for name, df in results.items() for r in docs.as_index_rows(docs.result_documents(
+        name, df, [F.col(c) if up else F.desc(c) for c, up in orders[name]], "now")).collect()]
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want))
+
+
 def test_result_documents(spark):
     result = spark.createDataFrame([("A", 5), ("B", 9)], "comuna string, cantidad long")
     got = docs.result_documents("t", result, [F.desc("cantidad")], "2024-01-01T00:00:00").orderBy("fila_numero").collect()
