@@ -415,7 +415,7 @@ def test_numbered_documents_shuffle_their_rows_once(spark, monkeypatch):
     orders = {"t": [("c", False), ("u", True)], "s": [("c", False)]}
     sources = []
     whole = numbering.materialise
-    monkeypatch.setattr(numbering, "materialise", lambda df: (sources.append(df.columns), whole(df))[1])
+    monkeypatch.setattr(numbering, "materialise", lambda df, *more: (sources.append(df.columns), whole(df, *more))[1])
     found = docs.numbered_documents(results, orders, "now")
     assert sources == [["__name", "t", "s", "__stamp"]]
     want = [r for name, df in results.items() for r in docs.as_index_rows(docs.result_documents(

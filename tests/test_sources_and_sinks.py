@@ -3,12 +3,12 @@ import random
 from datetime import datetime
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from roadpulse.operators import documents, duplicates as dup, incremental
 from roadpulse.operators.suppression import fill_moments
 from roadpulse.plans import jobs
-from roadpulse.schemas import ALERTS, JAMS, RESULT_ORDER
+from roadpulse.schemas import ALERTS, JAMS, RESULT_ORDER, struct
 from roadpulse.session import drop_materialised, drop_table, materialise
 from roadpulse.sinks import buckets, keyed, writers
 from roadpulse.sources import feeds, tables
@@ -425,6 +425,37 @@ def test_refreshed_results_equal_a_full_rebuild(spark, tmp_path, monkeypatch):
     assert len(written) == 3 and written[1] < len(indexed) and written[2] < len(indexed)
 
 
+def test_a_refresh_writes_documents_without_another_copy(spark, tmp_path, monkeypatch):
+    """Unchanged documents stay as they are, all others are the new ones; a batch written again changes nothing."""
+    path, ids = str(tmp_path / "index"), "_index string, _id string"
+    rows = lambda text, *numbers: spark.createDataFrame(
+        [("i", f"d_{n}", f'{{"n":{n},"x":"{text}"}}') for n in numbers], keyed.DOCUMENT)
+    keyed.write_documents(rows("old", *range(40)), path, 0, 4)
+    same = spark.createDataFrame([("i", f"d_{n}") for n in range(0, 40, 3)], ids)
+    copies = []
+    monkeypatch.setattr(buckets, "materialise", lambda df, *more: copies.append(df))
+    want = {(f"d_{n}", "new" if n % 3 or n >= 40 else "old") for n in range(50)}
+    for _ in range(2):
+        keyed.write_documents(rows("new", *(n for n in range(50) if n % 3 or n >= 40)), path, 1, 4, same)
+        got = [(r._id, json.loads(r._source)["x"]) for r in keyed.current_documents(spark, path).collect()]
+        assert set(got) == want and len(got) == 50
+    assert not copies
+
+
+def test_rows_of_a_batch_are_added_without_reading_those_there(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    add = lambda batch, *keys: incremental.add_rows(spark.createDataFrame(
+        [(k, "c", "s", "f") for k in keys], "uuid string, city string, street string, fecha string"), path, batch)
+    add(0, "a", "b")
+    before = sorted((tmp_path / "rows" / "batch_id=0").iterdir())
+    add(1, "c", None)
+    add(1, "c", None)
+    assert sorted((tmp_path / "rows" / "batch_id=0").iterdir()) == before
+    found = keyed.finished_batches(spark, path, struct(uuid=T.StringType(), city=T.StringType()))
+    assert sorted((r.uuid or "") for r in found.collect()) == ["", "a", "b", "c"]
+    assert keyed.finished_batches(spark, path + "x", found.schema).count() == 0
+
+
 def test_a_batch_merged_again_counts_once(spark, tmp_path):
     path = str(tmp_path / "sums")
     add = lambda batch, *r: incremental.add_sums(
