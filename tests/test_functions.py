@@ -36,6 +36,15 @@ def test_normalize_city_random(spark, names):
     assert column(spark, names, "string", text.normalize_city) == [by_python(c) for c in names]
 
 
+def test_normalize_city_is_compiled_with_its_step(spark):
+    """A function over an array would leave the whole step to row-by-row evaluation."""
+    df = spark.range(1).select(text.normalize_city(F.col("id").cast("string")).alias("city")).filter("city <> ''")
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "*(1) Project" in plan and "lambda" not in plan
+    odd = ["a\ufdd0 b-c", "x\ufdd00y", "\ufdd0", "a\ufdd0  \ufdd0 1b", "- a-b ,\u2003c-d\t;e'f"]
+    assert column(spark, odd, "string", text.normalize_city) == [by_python(c) for c in odd]
+
+
 def test_text_helpers(spark):
     assert column(spark, ["a", "", None], "string", text.filled) == [True, False, False]
     assert column(spark, ["12", "1a", "-1", "", None], "string", text.is_digits) == [

@@ -423,6 +423,34 @@ def test_numbered_documents_shuffle_their_rows_once(spark, monkeypatch):
     assert sorted(map(tuple, found.collect())) == sorted(map(tuple, want))
 
 
+def test_numbered_documents_are_sorted_by_columns(spark, monkeypatch):
+    """Nothing is computed at each comparison; numbers too large for the first key, nulls and ties come out as ranked."""
+    far = [None, 0, 1, -1, 2**53, 2**53 + 1, 2**53 + 2, -2**53, -2**53 - 1, -2**53 - 2, 2**63 - 1, -2**63]
+    rows = [(n, f"u{i % 3}", n, float(i)) for i, n in enumerate(far * 3)]
+    df = spark.createDataFrame(rows, "c long, u string, d long, x double")
+    results = {"down": df, "up": df, "text": df, "short": df.select("c").distinct(), "whole": df.selectExpr("cast(x as int) as x")}
+    orders = {"down": [("c", False), ("u", True), ("x", True)], "up": [("c", True), ("u", True), ("x", False)],
+              "text": [("u", True), ("d", False), ("x", True)], "short": [("c", False)], "whole": [("x", False)]}
+    plans = []
+    whole = numbering.materialise
+    monkeypatch.setattr(numbering, "materialise", lambda df, *more: (
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString()), whole(df, *more))[1])
+    found = docs.numbered_documents(results, orders, "now").collect()
+    steps = [line for line in plans[0].split("\n") if "Sort [" in line or "RepartitionByExpression" in line]
+    assert len(steps) == 2 and not any("CASE" in line for line in steps)
+    want = [r for name, df in results.items() for r in docs.as_index_rows(docs.result_documents(
+        name, df, [F.col(c) if up else F.desc(c) for c, up in orders[name]], "now")).collect()]
+    assert sorted(map(tuple, found)) == sorted(map(tuple, want))
+
+
+def test_content_is_the_text_but_for_when_it_was_processed(spark):
+    df = spark.createDataFrame([(1, 'a","fecha_procesamiento":"x",'), (2, None)], "c int, u string")
+    both = [docs.numbered_documents({"t": df}, {"t": [("c", True)]}, when, content=True).withColumn(
+        "stored", docs.stored_content(F.col("_source"))).collect() for when in ("now", "then")]
+    assert all(r.content == r.stored for rows in both for r in rows)
+    assert [r.content for r in both[0]] == [r.content for r in both[1]] and both[0][0]._source != both[1][0]._source
+
+
 def test_result_documents(spark):
     result = spark.createDataFrame([("A", 5), ("B", 9)], "comuna string, cantidad long")
     got = docs.result_documents("t", result, [F.desc("cantidad")], "2024-01-01T00:00:00").orderBy("fila_numero").collect()

@@ -456,6 +456,23 @@ def test_rows_of_a_batch_are_added_without_reading_those_there(spark, tmp_path):
     assert keyed.finished_batches(spark, path + "x", found.schema).count() == 0
 
 
+def test_jams_are_staged_once_a_refresh(spark, tmp_path, monkeypatch):
+    """Sums by city are taken from the rows as written, also when a batch is merged again."""
+    state, sums = str(tmp_path / "state"), {}
+    whole = incremental.add_sums
+    monkeypatch.setattr(incremental, "add_sums", lambda df, path, *more: (
+        sums.update({path.rsplit("/", 1)[1]: df.inputFiles()}), whole(df, path, *more)))
+    alerts, schemas = (spark.createDataFrame([], T.StructType([*refresh._PLACE, *refresh.ALERT_DOCUMENT.fields])), refresh.JAM_DOCUMENT)
+    row = lambda n, city, length: (n, 1, "CL", length, "x", 1, 1.0, 1.0, "s", "2025-06-01 10:00:00", "r", city)
+    for batch, jams in ((0, [row(1, "renca", 5), row(2, "ñuñoa", 7), row(3, "renca", None)]), (1, [row(4, "renca", 2)]),
+                        (1, [row(4, "renca", 2)])):
+        incremental.merge_documents(alerts, spark.createDataFrame(jams, schemas).withColumns(
+            {"file": F.lit("f"), "cell": F.lit(0), "pos": F.lit(0)}), state, batch)
+        assert sums["ciudades_atascos"] and all(f"atascos_limpios/batch_id={batch}/" in f for f in sums["ciudades_atascos"])
+    got = sorted(map(tuple, incremental.stored_sums(spark, f"{state}/ciudades_atascos", *incremental.CITIES[1:]).collect()))
+    assert got == [("Renca", 7, 2), ("Ñuñoa", 7, 1)]
+
+
 def test_a_batch_merged_again_counts_once(spark, tmp_path):
     path = str(tmp_path / "sums")
     add = lambda batch, *r: incremental.add_sums(
